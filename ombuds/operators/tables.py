@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ombuds.operators.dedup import latest_per_key
-from ombuds.operators.upsert import upsert
+from ombuds.operators.quality import QualityError, duplicate_keys
+from ombuds.operators.upsert import BatchSize, batch_size, measured, spread_keys, upsert
 from ombuds.schemas import AUDIT
 from ombuds.session import scratch
 
@@ -46,7 +47,7 @@ def path_missing(error: AnalysisException) -> bool:
 
 
 class VersionedTable:
-    """A table split into ``buckets`` by the hash of ``key``.
+    """A table split into ``buckets`` by the hash of ``key``, which no two rows share (unless it is NULL).
 
     Choose ``buckets`` so that one holds some tens of gigabytes. With ``buckets=1`` and no key the table is a
     plain snapshot that is always replaced whole.
@@ -109,50 +110,57 @@ class VersionedTable:
     # writing
 
     def replace(self, df: DataFrame, check: Check | None = None) -> int:
-        """Full refresh: write everything anew, check it, then swap."""
+        """Full refresh: write everything anew, check it, then swap. Repeated keys are an error."""
+
+        def check_all(written: DataFrame) -> None:
+            if self.key is not None and not duplicate_keys(written, self.key).isEmpty():
+                raise QualityError(f"{self.key} repeats in the new state of {self.root}")
+            if check is not None:
+                check(written)
+
         last, live = self._live()
-        return self._publish(df, last + 1, retired=live, check=check)
+        return self._publish(df, last + 1, retired=live, check=check_all)
 
     def merge(self, batch: DataFrame, update: tuple[str, ...] | None = None, order_by: str = AUDIT) -> int:
         """Deduplicate ``batch`` on the key, then insert new keys and update known ones."""
         if self.key is None:
             raise ValueError("merge needs a key")
         latest = latest_per_key(batch.select(*self.schema.fieldNames()), self.key, order_by)
-        staged = self._stage(latest)
+        staged, size = self._stage(latest)
         touched = {row[BUCKET] for row in staged.select(BUCKET).distinct().collect()}
         last, live = self._live()
         if not touched:
             return last
         source = staged.drop(BUCKET)
-        hit = self._folders_with(source, [folder for folder in live if folder[1] in touched])
-        merged = upsert(self._rows(hit), source, self.key, update)
+        near = [folder for folder in live if folder[1] in touched]
+        keys = spread_keys(source.select(self.key).where(F.col(self.key).isNotNull()), size)
+        hit = self._folders_with(keys, near)
+        merged = upsert(self._rows(hit), source, self.key, update, size, unique_target=True)
         return self._publish(merged, last + 1, retired=hit, filled=touched)
 
     def erase(self, values: DataFrame, column: str) -> int:
         """Delete the rows whose ``column`` is in the one-column frame ``values``."""
         wanted = values.toDF(column).where(F.col(column).isNotNull()).distinct()
         last, live = self._live()
-        hit = self._folders_with(wanted, live, column)
+        hit = self._folders_with(wanted, live)
         if not hit:
             return last
         kept = self._rows(hit).join(wanted, column, "left_anti")
         return self._publish(kept, last + 1, retired=hit)
 
-    def _stage(self, latest: DataFrame) -> DataFrame:
+    def _stage(self, latest: DataFrame) -> tuple[DataFrame, BatchSize]:
         """Write the deduplicated batch once: it is read three times, and a lost executor must not redo it."""
         path = scratch(self.spark, "staged")
-        latest.withColumn(BUCKET, self._bucket_of()).write.parquet(path)
+        batch, seen = measured(latest, self.key)
+        batch.withColumn(BUCKET, self._bucket_of()).write.parquet(path)
         schema = T.StructType([*self.schema.fields, T.StructField(BUCKET, T.IntegerType())])
-        return self.spark.read.schema(schema).parquet(path)
-
-    def _folders_with(
-        self, source: DataFrame, folders: list[Folder], column: str | None = None
-    ) -> list[Folder]:
-        """Those folders that hold a key of ``source``. Reads one column only."""
-        column = column or self.key
-        keys = source.select(column).where(F.col(column).isNotNull())
+        return self.spark.read.schema(schema).parquet(path), batch_size(seen)
+
+    def _folders_with(self, values: DataFrame, folders: list[Folder]) -> list[Folder]:
+        """Those folders that hold a value of the one-column frame. Reads that column only."""
+        [column] = values.columns
         target = self._rows(folders, with_place=True).select(column, VERSION, BUCKET)
-        hits = target.join(keys, column, "left_semi").select(VERSION, BUCKET).distinct()
+        hits = target.join(values, column, "left_semi").select(VERSION, BUCKET).distinct()
         return sorted((row[VERSION], row[BUCKET]) for row in hits.collect())
 
     def _bucket_of(self) -> Column:

@@ -4,42 +4,102 @@
 then every match is updated. NULL keys match nothing: such target rows stay, such source rows are inserted.
 Target rows without a match always survive.
 
-The target is always the streamed side of its join, never the built one. When the batch is small, adaptive
-execution broadcasts the batch's measured keys and the target is not shuffled at all; when it is large both
-sides are shuffled on the key, and a hot target key is split by the adaptive skew join (left outer and left
-anti joins allow that, a full outer join does not). NULL-key target rows by-pass the join, so they never
-pile up in one task.
+The target is always the streamed side of its join, never the built one. A batch that was measured to be
+small is broadcast, and then the target is not shuffled at all. A larger one is shuffled on the key together
+with the target, and a hot target key is split by the adaptive skew join (left outer and left anti joins
+allow that, a full outer join does not). NULL-key target rows by-pass the join, so they never pile up in one
+task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+#: most memory a broadcast batch may take, and what a row takes beside its text
+BROADCAST_BYTES = 64 * 1024 * 1024
+ROW_BYTES = 64
+
 _HIT = "_matched"
 
 
+@dataclass(frozen=True)
+class BatchSize:
+    """Exact size of a batch, measured while it was written."""
+
+    rows: int
+    key_bytes: int
+    all_bytes: int
+
+    @property
+    def keys_fit(self) -> bool:
+        return self.key_bytes + self.rows * ROW_BYTES <= BROADCAST_BYTES
+
+    @property
+    def rows_fit(self) -> bool:
+        return self.all_bytes + self.rows * ROW_BYTES <= BROADCAST_BYTES
+
+
+def measured(df: DataFrame, key: str) -> tuple[DataFrame, Observation]:
+    """``df`` with its size taken along the next action on it."""
+
+    def width(name: str):
+        return F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0)).cast("bigint")
+
+    seen = Observation()
+    total = sum((width(name) for name in df.columns), F.lit(0))
+    sizes = (F.count(F.lit(1)), F.sum(width(key)), F.sum(total))
+    names = ("rows", "key_bytes", "all_bytes")
+    return df.observe(seen, *(size.alias(name) for size, name in zip(sizes, names))), seen
+
+
+def batch_size(seen: Observation) -> BatchSize:
+    return BatchSize(**{name: value or 0 for name, value in seen.get.items()})
+
+
+def spread_keys(keys: DataFrame, size: BatchSize | None) -> DataFrame:
+    return F.broadcast(keys) if size is not None and size.keys_fit else keys
+
+
+def spread_rows(rows: DataFrame, size: BatchSize | None) -> DataFrame:
+    return F.broadcast(rows) if size is not None and size.rows_fit else rows
+
+
 def upsert(
-    target: DataFrame, source: DataFrame, key: str, update: Sequence[str] | None = None
+    target: DataFrame,
+    source: DataFrame,
+    key: str,
+    update: Sequence[str] | None = None,
+    size: BatchSize | None = None,
+    unique_target: bool = False,
 ) -> DataFrame:
-    """Insert new keys; on a match overwrite ``update`` columns, or all when it is ``None``."""
+    """Insert new keys; on a match overwrite ``update`` columns, or all when it is ``None``.
+
+    ``size`` is the measured size of ``source``; without it Spark's own estimate picks the join.
+    ``unique_target`` says that no target key repeats. Then overwriting all columns is replacing the row,
+    which needs the batch's keys only.
+    """
     columns = target.columns
     source = source.select(*columns)
-    if update is None or set(columns) <= {key, *update}:
-        return _replace_rows(target, source, key)
-    return _update_columns(target, source, key, update)
+    if update is None:
+        update = [name for name in columns if name != key]
+    if unique_target and set(columns) <= {key, *update}:
+        return _replace_rows(target, source, key, size)
+    return _update_columns(target, source, key, update, size)
 
 
-def _replace_rows(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+def _replace_rows(target: DataFrame, source: DataFrame, key: str, size: BatchSize | None) -> DataFrame:
     keyless, keyed = _split_null_keys(target, key)
-    kept = keyed.join(source.select(key).where(F.col(key).isNotNull()), key, "left_anti")
+    keys = source.select(key).where(F.col(key).isNotNull())
+    kept = keyed.join(spread_keys(keys, size), key, "left_anti")
     return kept.select(*target.columns).unionByName(keyless).unionByName(source)
 
 
 def _update_columns(
-    target: DataFrame, source: DataFrame, key: str, update: Sequence[str]
+    target: DataFrame, source: DataFrame, key: str, update: Sequence[str], size: BatchSize | None
 ) -> DataFrame:
     keyless, keyed = _split_null_keys(target, key)
     keyed_source = source.where(F.col(key).isNotNull())
@@ -47,7 +107,7 @@ def _update_columns(
     patch = keyed_source.select(
         F.col(key), F.lit(True).alias(_HIT), *(F.col(name).alias(new) for name, new in fresh.items())
     )
-    patched = keyed.join(patch, key, "left").select(
+    patched = keyed.join(spread_rows(patch, size), key, "left").select(
         *(
             F.when(F.col(_HIT), F.col(fresh[name])).otherwise(F.col(name)).alias(name)
             if name in fresh
@@ -56,7 +116,8 @@ def _update_columns(
         )
     )
     # Keys found in the target, at most one row each: small whenever the batch is.
-    found = keyed.select(key).join(keyed_source.select(key), key, "left_semi").distinct()
+    keys = spread_keys(keyed_source.select(key), size)
+    found = keyed.select(key).join(keys, key, "left_semi").distinct()
     added = source.join(found, key, "left_anti").select(*target.columns)
     return patched.unionByName(keyless).unionByName(added)
 

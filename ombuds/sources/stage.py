@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -82,18 +83,18 @@ def intact_files(spark: SparkSession, files: list[str], schema: T.StructType) ->
     Skipping corrupt files while reading would keep the rows decoded before the fault. So every value is
     decoded once, and a file counts as intact when it yields as many rows as its footer promises.
     """
-    names = [f"`{name}`" for name in schema.fieldNames()]
+    values = [F.col(f"`{name}`") for name in schema.fieldNames()] or [F.lit(0)]
     path = F.col("_metadata.file_path").alias("path")
     scan = spark.read.schema(schema).options(**_SKIP_BAD).parquet(*files)
     promised = scan.select(path).groupBy("path").agg(F.count(F.lit(1)).alias("promised"))
     decoded = (
-        scan.select(path, F.xxhash64(*names).alias("row_hash"))
+        scan.select(path, F.xxhash64(*values).alias("row_hash"))
         .groupBy("path")
         .agg(F.count(F.lit(1)).alias("decoded"), F.bit_xor("row_hash").alias("all_values"))
         .where(F.col("all_values").isNotNull())
     )
     rows = promised.join(decoded, "path").where("decoded = promised").select("path").collect()
-    intact = {_plain(row.path) for row in rows}
+    intact = {_plain(unquote(row.path)) for row in rows}  # the metadata column holds an encoded URI
     return [path for path in files if _plain(path) in intact]
 
 

@@ -1,0 +1,127 @@
+import datetime as dt
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+
+from conftest import rows
+from ombuds.schemas import CALL_CENTER_LOGS, SOCIAL_MEDIA, WEB_COMPLAINTS
+from ombuds.session import conf
+from ombuds.sources.ledger import Ledger
+from ombuds.sources.stage import SOURCE_FILE, group_by_schema, intact_files, list_files, read_staged
+
+
+def put(tmp_path, name, **columns):
+    path = tmp_path / name
+    path.parent.mkdir(parents=True, exist_ok=True)
+    pq.write_table(pa.table(columns), path)
+    return f"file://{path}"
+
+
+def test_columns_match_by_name_ignoring_case(spark, tmp_path):
+    files = [
+        put(tmp_path, "a.parquet", Source_Row_ID=["1"], CALL_ID=["x"]),
+        put(tmp_path, "b.parquet", SOURCE_ROW_ID=[2], extra=[9.5], call_id=[7]),
+    ]
+    df = read_staged(spark, CALL_CENTER_LOGS, files)
+    assert df.columns == CALL_CENTER_LOGS.business
+    assert rows(df, "source_row_id", "call_id", "agent_id") == [("1", "x", None), ("2", "7", None)]
+
+
+def test_like_files_are_one_scan(spark, tmp_path):
+    files = [put(tmp_path, f"{i}.parquet", call_id=[str(i)]) for i in range(5)]
+    [(schema, paths)] = group_by_schema(spark, files)
+    assert schema.names == ["call_id"] and paths == files
+
+
+def test_files_lacking_columns_still_share_a_scan(spark, tmp_path):
+    files = [put(tmp_path, "a.parquet", call_id=["1"]), put(tmp_path, "b.parquet", agent_id=["2"])]
+    assert len(group_by_schema(spark, files)) == 1
+
+
+def test_accepted_spellings(spark, tmp_path):
+    files = [
+        put(tmp_path, "a.parquet", source_row_id=["1"], request_id=["a"]),
+        put(tmp_path, "b.parquet", Source_Row_Id=["2"], request_id=["b"]),
+        put(tmp_path, "c.parquet", source_row_id=["x", None], SOURCE_ROW_ID=["y", "3"], request_id=["c", "d"]),
+        put(tmp_path, "d.parquet", sOuRce_row_id=["4"], REQUEST_ID=["e"]),
+    ]
+    df = read_staged(spark, WEB_COMPLAINTS, files)
+    assert spark.conf.get("spark.sql.caseSensitive") == "false"
+    assert rows(df, "source_row_id", "request_id") == [
+        (None, None), ("1", "a"), ("2", "b"), ("3", "d"), ("x", "c"),
+    ]
+
+
+def test_file_without_footer_is_skipped(spark, tmp_path):
+    good = put(tmp_path, "a.parquet", complaint_id=["1"])
+    (tmp_path / "b.parquet").write_bytes(b"garbage")
+    files = [good, f"file://{tmp_path}/b.parquet"]
+    assert rows(read_staged(spark, SOCIAL_MEDIA, files), "complaint_id") == [("1",)]
+
+
+def test_file_broken_in_the_middle_is_skipped_whole(spark, tmp_path):
+    good = put(tmp_path, "a.parquet", complaint_id=["1"])
+    path = tmp_path / "b.parquet"
+    values = [f"value-{i}" for i in range(50000)]
+    pq.write_table(
+        pa.table({"complaint_id": values}), path, row_group_size=10000, use_dictionary=False, compression="snappy"
+    )
+    data = bytearray(path.read_bytes())
+    for place in range(len(data) // 2, len(data) // 2 + 4000):
+        data[place] = 255
+    path.write_bytes(bytes(data))
+    files = [good, f"file://{path}"]
+    with conf(spark, spark__sql__files__ignoreCorruptFiles="true"):
+        partly = spark.read.parquet(*files).count()
+    assert partly > 1
+    assert rows(read_staged(spark, SOCIAL_MEDIA, files), "complaint_id") == [("1",)]
+
+
+def test_intact_files_counts_empty_files_in(spark, tmp_path):
+    files = [put(tmp_path, "a.parquet", call_id=pa.array([], pa.string())), put(tmp_path, "b.parquet", call_id=["1"])]
+    [(schema, _)] = group_by_schema(spark, files)
+    assert files[1] in intact_files(spark, files, schema)
+
+
+def test_nothing_to_read(spark, tmp_path):
+    df = read_staged(spark, CALL_CENTER_LOGS, [])
+    assert df.columns == CALL_CENTER_LOGS.business and df.isEmpty()
+
+
+def test_lineage(spark, tmp_path):
+    path = put(tmp_path, "with space/a.parquet", call_id=["1"])
+    df = read_staged(spark, CALL_CENTER_LOGS, [path], lineage=True)
+    assert df.first()[SOURCE_FILE].endswith("a.parquet")
+    assert rows(df, "call_id") == [("1",)]
+
+
+def test_ledger_knows_loaded_files(spark, tmp_path, folder):
+    put(tmp_path, "in/dt=1/a.parquet", x=["1"])
+    ledger, source = Ledger(spark, f"{folder}/ledger"), f"{folder}/in"
+    first = ledger.new_files(source).collect()
+    ledger.record(first, dt.datetime(2025, 1, 1))
+    assert len(first) == 1 and ledger.new_files(source).isEmpty()
+
+    put(tmp_path, "in/dt=2/b.parquet", x=["2"])
+    assert [row.path[-9:] for row in ledger.new_files(source).collect()] == ["b.parquet"]
+
+    put(tmp_path, "in/dt=1/a.parquet", x=["1", "changed"])
+    assert len(ledger.new_files(source).collect()) == 2
+    ledger.record([], dt.datetime(2025, 1, 1))
+    assert ledger.entries().count() == 1
+
+
+def test_listing_reads_no_contents(spark, tmp_path, folder):
+    put(tmp_path, "a/b/c.parquet", x=["1"])
+    (tmp_path / "a" / "_SUCCESS").write_text("")
+    files = list_files(spark, folder)
+    assert files.count() == 1
+    assert "content:binary" not in files._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("check", [True, False])
+def test_checking_files_changes_no_good_row(spark, tmp_path, check):
+    files = [put(tmp_path, f"{i}.parquet", call_id=[str(i), None]) for i in range(3)]
+    df = read_staged(spark, CALL_CENTER_LOGS, files, check_files=check)
+    assert rows(df, "call_id") == [(None,)] * 3 + [("0",), ("1",), ("2",)]
