@@ -13,8 +13,13 @@ from pyspark.sql import functions as F
 LOAD_TIME = "2025-11-20 00:00:00"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread_by: tuple[str, ...] = ()) -> DataFrame:
+    """A test table. One that comes in fewer files than there are cores is spread over them by a key."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if spread_by and len(df.inputFiles()) < cores:
+        return df.repartition(cores, *spread_by)
+    return df
 
 
 def _text(column: Column) -> Column:
@@ -67,7 +72,7 @@ def call_center_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = _cases("o_orderstatus", {"F": "Resolved", "O": "Backlog", "P": "In-Progress"})
     start = _text(_later("o_orderdate", second))
     end = _text(_later("o_orderdate", second + (key * 13) % 1800))
-    return table(spark, sf_dir, "orders").select(
+    return table(spark, sf_dir, "orders", ("o_orderkey",)).select(
         _text(key).alias("source_row_id"),
         _text(key).alias("call_id"),
         _text(F.col("o_custkey")).alias("customer_id"),
@@ -85,7 +90,7 @@ def call_center_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def web_complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As delivered: request ids repeat."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-    lines = table(spark, sf_dir, "lineitem")
+    lines = table(spark, sf_dir, "lineitem", ("l_orderkey", "l_linenumber"))
     resolved = _later("l_shipdate", (F.col("l_partkey") * 53) % 200000)
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
         _text(F.col("l_linenumber")).alias("source_row_id"),
@@ -104,7 +109,7 @@ def web_complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def social_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("event_id")
-    return table(spark, sf_dir, "events").select(
+    return table(spark, sf_dir, "events", ("event_id",)).select(
         _text(key).alias("complaint_id"),
         _text(F.col("user_id")).alias("customer_id"),
         F.col("event_type").alias("complaint_catego_ry"),

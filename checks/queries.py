@@ -214,7 +214,7 @@ def merge_web_full(spark, sf_dir):
     web = adapters.web_complaints(spark, sf_dir)
     target = latest_per_key(_before(web, SPLIT), "request_id")
     source = latest_per_key(_since(web, SPLIT), "request_id")
-    return upsert(target, source, WEB_COMPLAINTS.merge_key, WEB_COMPLAINTS.update)
+    return upsert(target, source, "request_id", unique_target=True)
 
 
 @query

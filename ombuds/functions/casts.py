@@ -14,7 +14,6 @@ TIMESTAMP_FORMATS = ("M/d/yyyy H:mm:ss", "M/d/yyyy", "d-MMM-yyyy H:mm:ss", "d-MM
 # Below each bound, digits count seconds, milliseconds, microseconds; else nanoseconds.
 _EPOCH_UNITS = ((31536000000, 1000000), (31536000000000, 1000), (31536000000000000, 1))
 
-_ISO_DAY = r"^\s*\d{4}-\d{1,2}-\d{1,2}"
 _DIGITS = r"^\d+$"
 
 
@@ -27,6 +26,12 @@ def _from_epoch(text: Column) -> Column:
     return F.timestamp_micros(micros).cast("timestamp_ntz")
 
 
+def _is_iso(text: Column) -> Column:
+    """Starts with a four-digit year and is long enough for a whole day; no pattern match, this is hot."""
+    bare = F.trim(text)
+    return (F.substring(bare, 5, 1) == "-") & (F.length(bare) >= len("2025-1-1"))
+
+
 def _first_format(text: Column, formats: Sequence[str]) -> list[Column]:
     return [F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz") for fmt in formats]
 
@@ -35,7 +40,7 @@ def try_timestamp(column: Column | str, formats: Sequence[str] = TIMESTAMP_FORMA
     """Timestamp without zone; NULL for text that is none. ISO text takes the first, cheap branch."""
     text = F.col(column) if isinstance(column, str) else column
     return (
-        F.when(text.rlike(_ISO_DAY), text.try_cast("timestamp_ntz"))
+        F.when(_is_iso(text), text.try_cast("timestamp_ntz"))
         .when(text.rlike(_DIGITS), _from_epoch(text))
         .otherwise(F.coalesce(*_first_format(text, formats)))
     )
@@ -45,7 +50,7 @@ def try_date(column: Column | str, formats: Sequence[str] = DATE_FORMATS) -> Col
     """Date; NULL for text that is none."""
     text = F.col(column) if isinstance(column, str) else column
     return (
-        F.when(text.rlike(_ISO_DAY), text.try_cast("date"))
+        F.when(_is_iso(text), text.try_cast("date"))
         .when(text.rlike(_DIGITS), F.to_date(_from_epoch(text)))
         .otherwise(F.to_date(F.coalesce(*_first_format(text, formats))))
     )

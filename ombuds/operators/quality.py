@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -29,20 +29,36 @@ def unique(df: DataFrame, table: str, column: str) -> DataFrame:
 
 
 def not_null(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
-    """Failures = NULLs per column. All columns of a table are counted in one pass."""
-    counts = df.agg(*(F.count_if(F.col(name).isNull()).alias(name) for name in columns))
-    rows = F.array(
-        *(
-            F.struct(
-                F.lit("not_null").alias("test"),
-                F.lit(table).alias("table"),
-                F.lit(name).alias("column"),
-                F.col(name).alias("failures"),
-            )
-            for name in columns
+    """Failures = NULLs per column."""
+    return row_tests(df, table, [_null_test(name) for name in columns])
+
+
+def accepted_values(df: DataFrame, table: str, column: str, values: Sequence[str]) -> DataFrame:
+    """Failures = rows with a non-NULL value outside ``values``."""
+    return row_tests(df, table, [_value_test(column, values)])
+
+
+def _null_test(column: str) -> tuple[str, str, Column]:
+    return "not_null", column, F.col(column).isNull()
+
+
+def _value_test(column: str, values: Sequence[str]) -> tuple[str, str, Column]:
+    return "accepted_values", column, ~F.col(column).isin(*values)
+
+
+def row_tests(df: DataFrame, table: str, tests: Sequence[tuple[str, str, Column]]) -> DataFrame:
+    """Tests ``(test, column, failing)`` that look at single rows; all of a table take one pass."""
+    counts = df.agg(*(F.count_if(fails).alias(f"n{i}") for i, (_, _, fails) in enumerate(tests)))
+    results = (
+        F.struct(
+            F.lit(test).alias("test"),
+            F.lit(table).alias("table"),
+            F.lit(column).alias("column"),
+            F.col(f"n{i}").alias("failures"),
         )
+        for i, (test, column, _) in enumerate(tests)
     )
-    return counts.select(F.inline(rows))
+    return counts.select(F.inline(F.array(*results)))
 
 
 def orphan_rows(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
@@ -61,12 +77,6 @@ def relationships(
     return _result("relationships", table, column, total)
 
 
-def accepted_values(df: DataFrame, table: str, column: str, values: Sequence[str]) -> DataFrame:
-    """Failures = rows with a non-NULL value outside ``values``."""
-    outside = F.count_if(~F.col(column).isin(*values)).alias("failures")
-    return _result("accepted_values", table, column, df.agg(outside))
-
-
 def row_counts(layers: Mapping[str, DataFrame]) -> DataFrame:
     """Rows per layer, to reconcile one layer against the next."""
     counts = (
@@ -143,13 +153,14 @@ def run_suite(tables: Mapping[str, DataFrame], expectations: Mapping[str, Expect
             continue
         df = tables[name]
         results += [unique(df, name, column) for column in expected.unique]
-        if expected.not_null:
-            results.append(not_null(df, name, expected.not_null))
+        single = [_null_test(column) for column in expected.not_null]
+        single += [_value_test(column, values) for column, values in expected.accepted]
+        if single:
+            results.append(row_tests(df, name, single))
         results += [
             relationships(df, name, ref.column, tables[ref.parent], ref.parent_column)
             for ref in expected.references
         ]
-        results += [accepted_values(df, name, column, values) for column, values in expected.accepted]
     return _union(results)
 
 

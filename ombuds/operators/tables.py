@@ -16,7 +16,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,7 +24,7 @@ from ombuds.operators.dedup import latest_per_key
 from ombuds.operators.quality import QualityError, duplicate_keys
 from ombuds.operators.upsert import BatchSize, batch_size, measured, spread_keys, upsert
 from ombuds.schemas import AUDIT
-from ombuds.session import scratch
+from ombuds.session import path_exists, scratch
 
 VERSION, BUCKET = "version", "bucket"
 _PLACE = [T.StructField(VERSION, T.LongType()), T.StructField(BUCKET, T.IntegerType())]
@@ -42,10 +41,6 @@ Folder = tuple[int, int]
 Check = Callable[[DataFrame], None]
 
 
-def path_missing(error: AnalysisException) -> bool:
-    return error.getCondition() == "PATH_NOT_FOUND"
-
-
 class VersionedTable:
     """A table split into ``buckets`` by the hash of ``key``, which no two rows share (unless it is NULL).
 
@@ -80,13 +75,9 @@ class VersionedTable:
 
     def _live(self) -> tuple[int, list[Folder]]:
         """Last version and the folders that make up the table (names only, never rows)."""
-        try:
-            pointer = self._pointer()
-        except AnalysisException as error:
-            if path_missing(error):
-                return 0, []
-            raise
-        last = pointer.groupBy(VERSION, BUCKET).agg(
+        if not path_exists(self.spark, f"{self.root}/pointer"):
+            return 0, []
+        last = self._pointer().groupBy(VERSION, BUCKET).agg(
             F.max_by("live", "written_by").alias("live"),
             F.max("written_by").alias("written_by"),
             F.max("buckets").alias("buckets"),
@@ -179,14 +170,15 @@ class VersionedTable:
         filled: set[int] | None = None,
         check: Check | None = None,
     ) -> int:
-        out = df.select(*self.schema.fieldNames()).withColumn(BUCKET, self._bucket_of())
-        if self.buckets > 1:
-            # Keeps a bucket in few files, yet splits one that is too large for a task.
-            out = out.hint("rebalance", BUCKET)
-        path = f"{self.root}/data/{VERSION}={version}"
-        out.write.partitionBy(BUCKET).mode("overwrite").parquet(path)
-        if filled is None:
-            filled = self._filled(path)
+        out, path = df.select(*self.schema.fieldNames()), f"{self.root}/data/{VERSION}={version}"
+        if self.buckets == 1:
+            out.write.mode("overwrite").parquet(f"{path}/{BUCKET}=0")
+            filled = {0}
+        else:
+            # Rebalance keeps a bucket in few files, yet splits one that is too large for a task.
+            out = out.withColumn(BUCKET, self._bucket_of()).hint("rebalance", BUCKET)
+            out.write.partitionBy(BUCKET).mode("overwrite").parquet(path)
+            filled = filled or self._filled(path)
         written = [(version, bucket) for bucket in sorted(filled)]
         if check is not None:
             check(self._rows(written))

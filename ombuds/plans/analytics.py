@@ -60,11 +60,13 @@ def channel_hopping(unified: DataFrame, within_hours: int = 24) -> DataFrame:
     Each such complaint comes with the first call at or after it. No pairs are formed. The call is looked
     up among the rows of the complaint's own minute, and failing that among the first calls of the
     customer's later minutes. The first lookup groups by customer and minute, so one busy customer is spread
-    over many tasks; the second sees one row per minute, so it is bounded by the calendar.
+    over many tasks; the second sees one row per minute, so it is bounded by the calendar. Both read the same
+    shuffled rows.
     """
     rows = unified.where(F.col("customer_id").isNotNull() & F.col("started_at").isNotNull()).select(
         "complaint_pk", "customer_id", "channel", "started_at", _minute("started_at").alias("minute")
     )
+    rows = rows.repartition("customer_id", "minute")
     is_call = F.col("channel") == CALLS
     call = F.when(is_call, F.struct(F.col("started_at").alias("called_at"), F.col("complaint_pk").alias("call_pk")))
     latest_first = Window.partitionBy("customer_id", "minute").orderBy(F.desc("started_at"))

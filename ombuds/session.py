@@ -20,7 +20,8 @@ SPEED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.parquet.filterPushdown": "true",
+    # Without it every column expression asks the JVM where in the Python code it was made.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -74,6 +75,13 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file, folder or glob pattern names anything."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(hadoop)
+    return found is not None and len(found) > 0
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"

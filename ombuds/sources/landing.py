@@ -5,12 +5,11 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ombuds.functions.names import rename_all
-from ombuds.operators.tables import path_missing
+from ombuds.session import path_exists
 from ombuds.sources.files import as_text, read_file
 from ombuds.sources.jdbc import TableMissing, TableReader, read_table
 from ombuds.sources.paths import AGENT_SHEET, Route, route
@@ -71,13 +70,12 @@ def land(
                 raise ValueError(f"{source} needs a table reader")
             df = rename_all(read_table(spark, chosen.source, table_reader), "jdbc")
         else:
-            df = read_file(spark, f"{lake.rstrip('/')}/{chosen.source}", chosen.kind, style, multiline)
+            path = f"{lake.rstrip('/')}/{chosen.source}"
+            if not path_exists(spark, path):
+                return Landing(SKIPPED)
+            df = read_file(spark, path, chosen.kind, style, multiline)
     except TableMissing:
         return Landing(SKIPPED)
-    except AnalysisException as error:
-        if path_missing(error):
-            return Landing(SKIPPED)
-        raise
     if df is None or (source == AGENT_SHEET and df.isEmpty()):
         return Landing(EMPTY)
     return write_landed(stamp(as_text(df), run_time or utc_now()), target, chosen)

@@ -17,7 +17,11 @@ def spark():
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.shuffle.partitions": "4",
+            "spark.default.parallelism": "2",
             "spark.driver.memory": "6g",
+            # Compiling plans takes longer than running them on a handful of rows.
+            "spark.sql.codegen.wholeStage": "false",
+            "spark.sql.codegen.factoryMode": "NO_CODEGEN",
         },
     )
     session.sparkContext.setLogLevel("ERROR")
