@@ -117,9 +117,11 @@ class VersionedTable:
         if self.key is None:
             raise ValueError("merge needs a key")
         latest = latest_per_key(batch.select(*self.schema.fieldNames()), self.key, order_by)
+        last, live = self._live()
+        if not live:
+            return self._publish(latest, last + 1, retired=[])
         staged, size = self._stage(latest)
         touched = {row[BUCKET] for row in staged.select(BUCKET).distinct().collect()}
-        last, live = self._live()
         if not touched:
             return last
         source = staged.drop(BUCKET)
@@ -184,9 +186,10 @@ class VersionedTable:
             check(self._rows(written))
         changes = [(version, *folder, True, self.buckets) for folder in written]
         changes += [(version, *folder, False, self.buckets) for folder in retired]
-        if changes:
-            log = self.spark.createDataFrame(changes, _POINTER).coalesce(1)
-            log.write.mode("append").parquet(f"{self.root}/pointer")
+        if not changes:
+            return version - 1
+        log = self.spark.createDataFrame(changes, _POINTER).coalesce(1)
+        log.write.mode("append").parquet(f"{self.root}/pointer")
         return version
 
     def _filled(self, path: str) -> set[int]:

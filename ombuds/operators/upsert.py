@@ -18,10 +18,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: most memory a broadcast batch may take, and what a row takes beside its text
 BROADCAST_BYTES = 64 * 1024 * 1024
-ROW_BYTES = 64
+ROW_BYTES = 128
 
 _HIT = "_matched"
 
@@ -46,12 +47,15 @@ class BatchSize:
 def measured(df: DataFrame, key: str) -> tuple[DataFrame, Observation]:
     """``df`` with its size taken along the next action on it."""
 
-    def width(name: str):
-        return F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0)).cast("bigint")
+    texts = [field.name for field in df.schema.fields if isinstance(field.dataType, T.StringType)]
+
+    def bytes_of(names: list[str]):
+        """Bytes of text; other columns are part of ``ROW_BYTES``."""
+        joined = F.concat_ws("", *names) if names else F.lit("")
+        return F.sum(F.octet_length(joined).cast("bigint"))
 
     seen = Observation()
-    total = sum((width(name) for name in df.columns), F.lit(0))
-    sizes = (F.count(F.lit(1)), F.sum(width(key)), F.sum(total))
+    sizes = (F.count(F.lit(1)), bytes_of([key] if key in texts else []), bytes_of(texts))
     names = ("rows", "key_bytes", "all_bytes")
     return df.observe(seen, *(size.alias(name) for size, name in zip(sizes, names))), seen
 

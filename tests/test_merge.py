@@ -144,7 +144,7 @@ def test_large_batch_is_not_broadcast(spark, folder):
 def test_batch_size_is_measured_while_writing(spark, folder):
     df, seen = measured(frame(spark, [("abc", "é", None, DAY[0]), (None, "", "12", None)]), "k")
     df.write.parquet(f"{folder}/b")
-    assert batch_size(seen) == BatchSize(rows=2, key_bytes=3, all_bytes=3 + 2 + 19 + 2)
+    assert batch_size(seen) == BatchSize(rows=2, key_bytes=3, all_bytes=3 + 2 + 2)
 
 
 def test_audit_column(spark):
