@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from ombuds.operators.quality import CHANNELS
 
@@ -57,37 +58,44 @@ def multi_channel_customers(
 def channel_hopping(unified: DataFrame, within_hours: int = 24) -> DataFrame:
     """Web and social complaints followed by a call of the same customer within some hours.
 
-    Each such complaint comes with the first call at or after it. No pairs are formed. The call is looked
-    up among the rows of the complaint's own minute, and failing that among the first calls of the
-    customer's later minutes. The first lookup groups by customer and minute, so one busy customer is spread
-    over many tasks; the second sees one row per minute, so it is bounded by the calendar. Both read the same
-    shuffled rows.
+    Each such complaint comes with the first call at or after it. No pairs are formed: the call is looked up
+    once per customer and instant, among the later instants of that minute, and failing that among the first
+    calls of the customer's later minutes. Rows of one instant are merged before any shuffle, so a minute is
+    bounded by the clock and a customer by the calendar, however many rows share a customer or a time.
     """
-    rows = unified.where(F.col("customer_id").isNotNull() & F.col("started_at").isNotNull()).select(
-        "complaint_pk", "customer_id", "channel", "started_at", _minute("started_at").alias("minute")
-    )
-    rows = rows.repartition("customer_id", "minute")
+    known = unified.where(F.col("customer_id").isNotNull() & F.col("started_at").isNotNull())
+    rows = known.select("complaint_pk", "customer_id", "channel", "started_at")
     is_call = F.col("channel") == CALLS
-    call = F.when(is_call, F.struct(F.col("started_at").alias("called_at"), F.col("complaint_pk").alias("call_pk")))
-    latest_first = Window.partitionBy("customer_id", "minute").orderBy(F.desc("started_at"))
-    own_minute = rows.withColumn("own", F.min(call).over(latest_first)).where(~is_call)
-
-    first_calls = rows.groupBy("customer_id", "minute").agg(F.min(call).alias("first_call"))
-    later = (
-        Window.partitionBy("customer_id").orderBy(F.desc("minute")).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    next_minutes = first_calls.select(
-        "customer_id", "minute", F.last("first_call", ignorenulls=True).over(later).alias("next")
+    call_pk = F.min(F.when(is_call, F.col("complaint_pk"))).alias("call_pk")
+    instants = rows.groupBy("customer_id", "started_at").agg(call_pk)
+    call = F.when(
+        F.col("call_pk").isNotNull(), F.struct(F.col("started_at").alias("called_at"), F.col("call_pk"))
     )
-    looked_up = own_minute.join(next_minutes, ["customer_id", "minute"]).withColumn(
-        "call", F.coalesce("own", "next")
+    instants = instants.select("customer_id", "started_at", _minute("started_at").alias("minute"), call.alias("call"))
+
+    from_here = _latest_first("customer_id", "minute", order="started_at", until=Window.currentRow)
+    same_minute = instants.withColumn("own", F.last("call", ignorenulls=True).over(from_here))
+    minutes = instants.groupBy("customer_id", "minute").agg(F.min("call").alias("first_call"))
+    after = _latest_first("customer_id", order="minute", until=-1)
+    later = minutes.select(
+        "customer_id", "minute", F.last("first_call", ignorenulls=True).over(after).alias("next")
     )
     deadline = F.col("started_at") + F.make_dt_interval(hours=F.lit(within_hours))
-    return looked_up.where(F.col("call.called_at") <= deadline).select(
+    found = (
+        same_minute.join(later, ["customer_id", "minute"])
+        .select("customer_id", "started_at", F.coalesce("own", "next").alias("call"))
+        .where(F.col("call.called_at") <= deadline)
+    )
+    complaints = rows.where(~is_call).join(found, ["customer_id", "started_at"])
+    return complaints.select(
         "complaint_pk", "customer_id", "channel", "started_at", "call.call_pk", "call.called_at"
     )
 
 
+def _latest_first(*keys: str, order: str, until: int) -> WindowSpec:
+    return Window.partitionBy(*keys).orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, until)
+
+
 def _minute(time: str) -> Column:
     """Minutes since 1970."""
     of_day = F.hour(time) * 60 + F.minute(time)

@@ -48,10 +48,10 @@ def test_reports_aggregate_before_the_shuffle(stored):
     assert "partial_avg" in text[exchange:]
 
 
-def test_channel_hopping_shuffles_the_fact_once(spark):
-    df = entry.queries()["channel_hopping"](spark, SF_DIR)
-    assert df.collect()
-    assert "ReusedExchange" in plan(df).split("Initial Plan")[0]
+def test_channel_hopping_merges_equal_times_before_the_shuffle(stored):
+    text = plan(analytics.channel_hopping(marts.fct_unified_complaints(**channels(stored))))
+    merged = text.index("functions=[partial_min(CASE WHEN (channel")
+    assert "Window" in text[:merged] and "Window" not in text[merged:].split("FileScan")[0]
 
 
 @pytest.mark.parametrize(
