@@ -62,17 +62,23 @@ def conf(spark: SparkSession, **settings: str):
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir``.
+    """The folder every executor can reach: the checkpoint folder of the session.
 
-    Only where the cluster names none (tests, a laptop) is a local folder made, once per session.
+    A folder given to ``setCheckpointDir`` counts first, then the setting ``spark.checkpoint.dir``. Only a local
+    master, whose threads share the machine's disk, gets a temporary folder where both are unset; on a cluster that
+    is an error, because every executor would write to a disk of its own.
     """
+    context = spark.sparkContext
+    chosen = context.getCheckpointDir()
+    if chosen:
+        return chosen.rstrip("/")
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="ombuds-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(named)
-    return named.rstrip("/")
+    context.setCheckpointDir(named)
+    return context.getCheckpointDir().rstrip("/")
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
