@@ -93,3 +93,13 @@ class Cache(dict):
             self.clear()
         self[key] = found
         return found
+
+
+#: Bytes of a table that is broadcast at most; a larger one is joined by shuffling.
+BROADCAST_BYTES = 32 << 20
+
+
+def small_or_shuffled(df: DataFrame, label: str, row_bytes: int, most: int = BROADCAST_BYTES) -> DataFrame:
+    """``df``, written, and marked for broadcast if its counted rows of ``row_bytes`` come to ``most`` at most."""
+    kept, _ = written(df, label)
+    return F.broadcast(kept) if kept.count() * row_bytes <= most else kept

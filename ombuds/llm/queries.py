@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ombuds.llm import bpe, simhash_groups, token_counts
+from ombuds.llm import bpe, line_chunks, simhash_groups, token_counts
 from ombuds.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -25,6 +25,13 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = line_chunks.dedup_lines(docs, report=True)
+    counts = ("n_lines", "n_chunks", "removed_chunks", "removed_lines")
+    return cut.select("doc_id", *counts, F.length("text").alias("n_chars"), F.md5("text").alias("text_md5"))
+
+
 def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, bits=2)
 
@@ -42,8 +49,9 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_counts": op3_token_counts,
+    "op8_line_chunks": op8_line_chunks,
     "op9_simhash_groups": op9_simhash_groups,
     "op10_bpe": op10_bpe,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op8_line_chunks": line_chunks.ORACLE}
