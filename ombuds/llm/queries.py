@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ombuds.llm import bpe, line_chunks, simhash_groups, token_counts
+from ombuds.llm import bpe, decontaminate, line_chunks, simhash_groups, token_counts
 from ombuds.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -25,6 +25,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("doc.id").alias("doc_id"), "item_id", "similarity", "start")
+
+
 def op8_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     cut = line_chunks.dedup_lines(docs, report=True)
@@ -49,9 +54,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_counts": op3_token_counts,
+    "op4_decontaminate": op4_decontaminate,
     "op8_line_chunks": op8_line_chunks,
     "op9_simhash_groups": op9_simhash_groups,
     "op10_bpe": op10_bpe,
 }
 
-ORACLE: dict[str, str] = {"op8_line_chunks": line_chunks.ORACLE}
+ORACLE: dict[str, str] = {"op4_decontaminate": decontaminate.ORACLE, "op8_line_chunks": line_chunks.ORACLE}
