@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from ombuds.llm.bytebpe import encoder, vocabulary
-from ombuds.llm.common import Cache, bounded_batches, with_columns
+from ombuds.llm.common import Cache, ready, with_columns
 
 ID = np.dtype("<i4")
 
@@ -62,7 +62,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
     Null and empty texts give no ids. Texts of any length are encoded whole; each row stands for itself, so ties and
     repeated rows are kept; an empty table stays empty. A column named ``ids`` is replaced, all others stay.
     """
-    bounded_batches(docs.sparkSession)
+    ready(docs.sparkSession)
     field = T.StructField(ids, T.ArrayType(T.IntegerType(), True), True)
     return with_columns(docs, text, [field], lambda: lambda texts: [lists([packed_ids(x, path) for x in texts])])
 
@@ -72,7 +72,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded
 
     Null ids give null, no ids the empty text. An unknown id is an error. A column named ``text`` is replaced.
     """
-    bounded_batches(encoded.sparkSession)
+    ready(encoded.sparkSession)
     field = T.StructField(text, T.StringType(), True)
     compute = lambda: lambda rows: [pa.array([None if x is None else spelled(x, path) for x in rows], pa.string())]
     return with_columns(encoded, ids, [field], compute)
@@ -82,7 +82,7 @@ def encode_decode(
     docs: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded"
 ) -> DataFrame:
     """``encode`` and ``decode`` in one pass over the rows, with the same results."""
-    bounded_batches(docs.sparkSession)
+    ready(docs.sparkSession)
     added = [
         T.StructField(ids, T.ArrayType(T.IntegerType(), True), True),
         T.StructField(decoded, T.StringType(), True),

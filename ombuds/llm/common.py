@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -17,12 +20,34 @@ BATCH_ROWS = 1000
 CACHE_ENTRIES = 300_000
 
 
-def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Let Python workers get at most ``rows`` rows at a time; results don't depend on it."""
+def ready(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Make a session fit for the operators that use Python: workers get at most ``rows`` rows at a time, and can
+    import this library wherever they run. Results don't depend on it."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key))
     if not 0 < now <= rows:
         spark.conf.set(key, str(rows))
+    if spark.sparkContext.applicationId not in _shipped:
+        _ship(spark)
+        _shipped.add(spark.sparkContext.applicationId)
+
+
+_shipped: set[str] = set()
+
+
+def _ship(spark: SparkSession) -> None:
+    """Send the library's sources to the workers by way of the shared folder."""
+    root = Path(__file__).resolve().parents[1]
+    archive = io.BytesIO()
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as file:
+        for source in sorted(root.rglob("*.py")):
+            file.write(source, source.relative_to(root.parent))
+    target = f"{scratch(spark, 'library')}/{root.name}.zip"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path)
+    out.write(archive.getvalue())
+    out.close()
+    spark.sparkContext.addPyFile(target)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

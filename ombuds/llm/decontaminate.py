@@ -75,7 +75,7 @@ def _meeting(windows: DataFrame, items: DataFrame) -> DataFrame:
     posted = items.select("item", "n", "fp", F.inline(blocks)).select("*", F.explode(changes).alias("change"))
     posted = posted.select("item", "n", F.col("fp").alias("item_fp"), "b", F.col("v").bitwiseXOR(F.col("change")).alias("v"))
     sought = windows.select("doc", "start", "n", "fp", F.inline(blocks))
-    near = sought.join(small_or_shuffled(posted, "item-blocks", 48), ["n", "b", "v"])
+    near = sought.join(small_or_shuffled(posted, "item-blocks", 192), ["n", "b", "v"])
     return near.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= RADIUS).select(
         "doc", "start", "n", "item"
     ).distinct()

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ombuds.llm import bpe, decontaminate, line_chunks, simhash_groups, token_counts
+from ombuds.llm import bpe, decontaminate, html_text, line_chunks, neighbours, simhash_groups, token_counts
 from ombuds.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -30,6 +30,15 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("doc.id").alias("doc_id"), "item_id", "similarity", "start")
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.search(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def op8_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     cut = line_chunks.dedup_lines(docs, report=True)
@@ -55,6 +64,8 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_counts": op3_token_counts,
     "op4_decontaminate": op4_decontaminate,
+    "op5_html_text": op5_html_text,
+    "op6_neighbours": op6_neighbours,
     "op8_line_chunks": op8_line_chunks,
     "op9_simhash_groups": op9_simhash_groups,
     "op10_bpe": op10_bpe,

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
-from ombuds.llm.common import bounded_batches, with_columns, written
+from ombuds.llm.common import ready, with_columns, written
 from ombuds.llm.components import components
 
 SEED = 42
@@ -52,7 +52,7 @@ def fingerprint(text: str | None, shingle: int) -> int:
 
 def fingerprints(docs: DataFrame, text: str = "text", out: str = "fingerprint", shingle: int = 3) -> DataFrame:
     """``docs`` with the fingerprint of each whole text, as a long."""
-    bounded_batches(docs.sparkSession)
+    ready(docs.sparkSession)
 
     def compute() -> Callable[[list], list[pa.Array]]:
         return lambda texts: [pa.array([fingerprint(x, shingle) for x in texts], pa.int64())]

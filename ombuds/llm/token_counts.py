@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ombuds.llm.bytebpe import alphabet, vocabulary
-from ombuds.llm.common import Cache, bounded_batches, with_columns
+from ombuds.llm.common import Cache, ready, with_columns
 from ombuds.session import shared_dir
 
 #: A pre-token is frequent from this share of all pre-tokens on, so there are at most 20,000.
@@ -70,7 +70,7 @@ def count_tokens(
     table stays empty. A column named ``n_tokens`` is replaced, all others stay.
     """
     spark = docs.sparkSession
-    bounded_batches(spark)
+    ready(spark)
     shared_dir(spark)
     frequent = spark.sparkContext.broadcast(frequent_lengths(docs, path, text, share))
 
