@@ -5,15 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ombuds.llm import bpe, decontaminate, html_text, line_chunks, neighbours, simhash_groups, token_counts
+from ombuds.llm import bpe, context_tree, decontaminate, html_text, line_chunks, neighbours, simhash_groups, token_counts
 from ombuds.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _fold(folds: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string")) % folds == 0
+
+
+def op2_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.score_texts(table(spark, sf_dir, "documents"), _fold(10))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = token_counts.count_tokens(docs, TOKENIZER)
@@ -62,6 +70,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_context_tree": op2_context_tree,
     "op3_token_counts": op3_token_counts,
     "op4_decontaminate": op4_decontaminate,
     "op5_html_text": op5_html_text,

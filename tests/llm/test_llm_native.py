@@ -1,0 +1,190 @@
+"""The operators of DataFrame functions: line chunks and decontamination."""
+
+import random
+from collections import Counter
+
+import duckdb
+import pytest
+from odd_docs import no_docs, odd_docs
+from pyspark.sql import functions as F
+
+from ombuds.llm import decontaminate, line_chunks, queries
+
+SMALL = "/root/testdata/sf0.001"
+WORDS = [f"w{i}" for i in range(400)]
+
+
+def rows_of(df):
+    return sorted(tuple(str(x) for x in row) for row in df.select(sorted(df.columns)).collect())
+
+
+@pytest.mark.parametrize("name", ["op8_line_chunks", "op4_decontaminate"])
+def test_query_against_its_sql(spark, name):
+    connection = duckdb.connect()
+    for table in ("documents", "benchmark"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
+    theirs = connection.execute(queries.ORACLE[name]).fetchdf()
+    ours = queries.QUERIES[name](spark, SMALL)
+    columns = sorted(ours.columns)
+    assert columns == sorted(theirs.columns)
+    assert rows_of(ours) == sorted(tuple(map(str, row)) for row in theirs[columns].itertuples(index=False))
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().toString()
+
+
+def test_no_python_in_the_plans(spark):
+    for name in ("op8_line_chunks", "op4_decontaminate"):
+        text = plan_of(queries.QUERIES[name](spark, SMALL))
+        assert not any(word in text for word in ("Python", "Pandas", "Arrow", "CartesianProduct", "BroadcastNestedLoop"))
+
+
+def lines(*texts):
+    return [(i, text) for i, text in enumerate(texts)]
+
+
+def deduped(spark, rows, **how):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    return {r.doc_id: r.text for r in line_chunks.dedup_lines(docs, **how).collect()}
+
+
+def test_passages_go_but_for_the_first(spark):
+    random.seed(1)
+    long = " ".join(random.choices(WORDS, k=60))
+    other = [" ".join(random.choices(WORDS, k=9)) for _ in range(6)]
+    rows = lines(f"{other[0]}\n{long}\n{other[1]}", f"{other[2]}\n{long}\n{other[3]}", f"{long}\n{other[4]}\n{long}")
+    got = deduped(spark, rows)
+    assert got == {0: rows[0][1], 1: f"{other[2]}\n{other[3]}", 2: other[4]}
+
+
+def test_several_lines_go_wherever_they_stand(spark):
+    random.seed(2)
+    passage = [" ".join(random.choices(WORDS, k=12)) for _ in range(12)]
+    fill = lambda n: [" ".join(random.choices(WORDS, k=8)) for _ in range(n)]
+    texts = [fill(3) + passage + fill(2), fill(6) + passage + fill(1), passage + fill(4)]
+    got = deduped(spark, lines(*("\n".join(t) for t in texts)))
+    assert got[0] == "\n".join(texts[0])
+    for number in (1, 2):
+        kept = got[number].split("\n")
+        assert set(texts[number]) - set(passage) <= set(kept)
+        assert len(set(kept) & set(passage)) < len(passage) - 4
+
+
+def test_single_short_lines_and_blank_chunks_stay(spark):
+    rows = lines("a\n\n\n\nb", "a\n\n\n\nc", "a")
+    assert deduped(spark, rows, lines=1) == dict(rows)
+
+
+def test_equal_hashes_are_not_enough(spark, monkeypatch):
+    monkeypatch.setattr(line_chunks, "_hash", lambda value: F.lit(0).cast("long"))
+    # All rolling hashes are zero, so each line is a chunk, and all chunks have one hash.
+    one, two = " ".join(WORDS[:60]), " ".join(WORDS[60:120])
+    assert deduped(spark, lines(one, two, one)) == {0: one, 1: two, 2: ""}
+
+
+def test_lines_odd_rows(spark):
+    copy = " ".join(WORDS[:70])
+    docs = odd_docs(spark, [(20, copy), (21, copy), (21, copy), (21, "new\n" + copy), (None, copy)])
+    found = line_chunks.dedup_lines(docs)
+    assert found.columns == docs.columns and found.count() == docs.count()
+    texts = Counter((r.doc_id, r.text) for r in found.collect())
+    long = next(r.text for r in docs.collect() if r.doc_id == 6)
+    assert texts[6, long] == 1 and texts[4, None] == 1 and texts[3, ""] == 1 and texts[None, None] == 1
+    assert texts[20, copy] == 1 and texts[21, ""] == 2 and texts[21, "new"] == 1 and texts[None, ""] == 1
+    assert texts[2, "The cat sat on the mat.\nThe dog did not."] + texts[2, ""] == 2
+    assert line_chunks.dedup_lines(no_docs(spark)).count() == 0
+    report = line_chunks.dedup_lines(docs, report=True).collect()
+    assert all(r.removed_lines <= r.n_lines and r.removed_chunks <= r.n_chunks for r in report)
+
+
+def test_broadcast_or_shuffle_gives_the_same(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    before = rows_of(line_chunks.dedup_lines(docs))
+    found = rows_of(queries.op4_decontaminate(spark, SMALL))
+    monkeypatch.setattr("ombuds.llm.common.BROADCAST_BYTES", 0)
+    small = line_chunks.small_or_shuffled
+    never = lambda df, label, size: small(df, label, size, most=-1)
+    monkeypatch.setattr(line_chunks, "small_or_shuffled", never)
+    monkeypatch.setattr(decontaminate, "small_or_shuffled", never)
+    assert rows_of(line_chunks.dedup_lines(docs)) == before
+    assert rows_of(queries.op4_decontaminate(spark, SMALL)) == found
+
+
+# Decontamination.
+
+
+def found_in(spark, texts, items):
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = decontaminate.contaminated(docs, bench).collect()
+    return {(r.doc.id, r.item_id): (round(r.similarity, 6), r.start) for r in rows}
+
+
+def test_copies_case_and_punctuation(spark):
+    random.seed(7)
+    item = random.choices(WORDS, k=40)
+    noise = random.choices(WORDS, k=100)
+    changed = [*item[:-1], "other"]
+    half = [*item[:20], *random.choices(WORDS, k=20)]
+    texts = [
+        (1, " ".join(noise[:30] + item + noise[30:])),
+        (2, " ".join(w.upper() + "," for w in item)),
+        (3, " ".join(noise + changed)),
+        (4, " ".join(noise + half)),
+        (5, " ".join(noise)),
+        (6, " ".join(item[:38])),
+    ]
+    got = found_in(spark, texts, [(9, " ".join(item)), (8, " ".join(item).upper())])
+    assert got[1, 9] == got[1, 8] == (1.0, 30) and got[2, 9] == (1.0, 0)
+    assert got[3, 9] == (round(35 / 37, 6), 100) and got[6, 9] == (round(34 / 36, 6), 0)
+    assert not {key for key in got if key[0] in (4, 5)}
+
+
+def test_repeated_shingles_are_weighed(spark):
+    item = ["x"] * 20 + WORDS[:10]
+    fewer = ["x"] * 8 + WORDS[:22]
+    got = found_in(spark, [(1, " ".join(item)), (2, " ".join(fewer))], [(1, " ".join(item))])
+    assert got == {(1, 1): (1.0, 0)}
+
+
+def test_short_items_and_odd_rows(spark):
+    docs = odd_docs(spark, [(30, "now one two three four five six seven")])
+    bench = spark.createDataFrame(
+        [(1, "two three"), (2, None), (3, " . "), (4, "no id here"), (None, "mat the dog"), (5, "two three"), (5, "two three")],
+        "item_id long, text string",
+    )
+    got = sorted((str(r.doc.id), str(r.item_id), r.similarity) for r in decontaminate.contaminated(docs, bench).collect())
+    assert got == sorted(
+        [("30", "1", 1.0), ("30", "5", 1.0), ("None", "4", 1.0), ("1", "None", 1.0), ("2", "None", 1.0)]
+    )
+    left = decontaminate.drop_contaminated(docs, bench)
+    assert left.columns == docs.columns
+    gone = Counter(r.doc_id for r in docs.collect()) - Counter(r.doc_id for r in left.collect())
+    assert gone == {30: 1, None: 2, 1: 1, 2: 2}
+    for some, other in ((docs, bench.where("false")), (no_docs(spark), bench)):
+        assert decontaminate.contaminated(some, other).count() == 0
+
+
+def test_all_fingerprints_within_the_radius_meet(spark):
+    random.seed(11)
+    prints = [(i, random.getrandbits(64) - (1 << 63)) for i in range(30)]
+    near = []
+    for number, value in prints:
+        for bits in (0, 5, 11, 15, 16, 20):
+            near.append((len(near), number, bits, value ^ (sum(1 << b for b in random.sample(range(63), bits)))))
+    items = spark.createDataFrame(prints, "item long, fp long").withColumn("n", F.lit(40))
+    windows = spark.createDataFrame(near, "doc long, start long, bits long, fp long").withColumn("n", F.lit(40))
+    pairs = {(r.doc, r.item) for r in decontaminate._meeting(windows, items).collect()}
+    mask = (1 << 64) - 1
+    assert pairs == {(w[0], i) for w in near for i, v in prints if ((w[3] ^ v) & mask).bit_count() <= decontaminate.RADIUS}
+
+
+def test_fingerprints_are_majorities(spark):
+    random.seed(12)
+    rows = [(g, random.getrandbits(64) - (1 << 63)) for g in range(4) for _ in range(g * 3 + 1)]
+    got = {r.g: r.fp for r in decontaminate._fingerprints(spark.createDataFrame(rows, "g int, shingle long"), ["g"]).collect()}
+    for g in got:
+        own = [v & ((1 << 64) - 1) for o, v in rows if o == g]
+        want = sum(1 << b for b in range(64) if 2 * sum(v >> b & 1 for v in own) > len(own))
+        assert got[g] & ((1 << 64) - 1) == want
