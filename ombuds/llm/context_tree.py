@@ -25,6 +25,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +34,7 @@ from ombuds.llm.common import discard, ready, written
 from ombuds.session import conf
 
 DEPTH, ROOT = 5, 2
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 6 << 20
 #: Bytes of text for each part of the model, and reports that one task merges.
 PART_BYTES, MERGED = 32 << 20, 64
 SMOOTHING = 0.1
@@ -48,8 +49,8 @@ def tokens(text: str | None) -> list[bytes]:
 
 
 def packed(docs: DataFrame, block_bytes: int) -> DataFrame:
-    """``block, held, n_bytes, ids, body``: the words of many texts, each followed by a space, each text by its end.
-    Training and held-out texts are in different blocks."""
+    """``block, held, n_bytes, ids, body``: the words of many texts, each followed by a space, each text by its end,
+    compressed. Training and held-out texts are in different blocks."""
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: dict[bool, tuple[list, list[bytes]]] = {False: ([], []), True: ([], [])}
@@ -60,7 +61,7 @@ def packed(docs: DataFrame, block_bytes: int) -> DataFrame:
             body = b"".join(texts)
             columns = [
                 pa.array([uuid.uuid4().hex]), pa.array([held]), pa.array([len(body)], pa.int64()),
-                pa.array([ids], pa.list_(pa.int64())), pa.array([body], pa.binary()),
+                pa.array([ids], pa.list_(pa.int64())), pa.array([zstandard.compress(body, 3)], pa.binary()),
             ]
             waiting[held], sizes[held] = ([], []), 0
             return pa.RecordBatch.from_arrays(columns, ["block", "held", "n_bytes", "ids", "body"])
@@ -80,18 +81,30 @@ def packed(docs: DataFrame, block_bytes: int) -> DataFrame:
     return docs.mapInArrow(pack, "block string, held boolean, n_bytes long, ids array<long>, body binary")
 
 
+def squeezed(values: np.ndarray) -> bytes:
+    """Numbers as compressed bytes: first bytes first, for neighbours in order differ in their last ones."""
+    return zstandard.compress(values.view(np.uint8).reshape(len(values), -1).T.tobytes(), 1)
+
+
+def spread(data: bytes, kind: type) -> np.ndarray:
+    """The numbers that ``squeezed`` took."""
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8)
+    return planes.reshape(np.dtype(kind).itemsize, -1).T.copy().view(kind).ravel()
+
+
 def strings(body: bytes) -> np.ndarray:
     """For each byte its context of ``DEPTH`` bytes and itself, as one number. A text's context starts with ends."""
-    values = np.frombuffer(body, np.uint8).astype(np.int64)
-    # How many bytes of its own text stand before each byte, up to DEPTH.
-    starts = np.concatenate([[0], np.flatnonzero(values == END[0])[:-1] + 1])
-    before = np.arange(len(values)) - np.repeat(starts, np.diff(np.append(starts, len(values))))
-    found = values.copy()
-    for back in range(1, DEPTH + 1):
-        earlier = np.full(len(values), END[0], np.int64)
-        earlier[back:] = np.where(before[back:] >= back, values[:-back], END[0])
-        found |= earlier << (8 * back)
-    return found
+    # With an end for each byte of context before a text, no context reaches into the text before.
+    padded = np.frombuffer(END * DEPTH + body.replace(END, END * DEPTH), np.uint8)
+    size = len(padded) - DEPTH
+    found = padded[:size].astype(np.int64)
+    for ahead in range(1, DEPTH + 1):
+        found <<= 8
+        found |= padded[ahead : ahead + size]
+    real = np.ones(size, bool)
+    ends = np.flatnonzero(padded[DEPTH:] == END[0])
+    real[ends[np.arange(len(ends)) % DEPTH > 0]] = False
+    return found[real]
 
 
 def _part(found: np.ndarray, parts: int) -> np.ndarray:
@@ -110,18 +123,19 @@ def reports(blocks: DataFrame, parts: int) -> DataFrame:
         for batch in batches:
             for block, held, body in zip(*(batch.column(x).to_pylist() for x in ("block", "held", "body")), strict=True):
                 rows = []
+                body = zstandard.decompress(body)
                 found, counts = np.unique(strings(body), return_counts=True)
-                owner = _part(found, parts)
-                for part in range(parts):
+                owner, counts = _part(found, parts), counts.astype(np.uint32) * (not held)
+                for part in np.unique(owner).tolist():
                     mine = owner == part
-                    rows.append((part, found[mine].tobytes(), counts[mine] * (not held)))
-                seen = sorted(Counter(body.split()).items())
-                owner = _word_part([word for word, _ in seen], parts)
-                for part in range(parts):
-                    mine = [seen[i] for i in np.flatnonzero(owner == part)]
-                    number = np.array([n for _, n in mine], np.int64) * (not held)
-                    rows.append((parts + part, b" ".join(word for word, _ in mine), number))
-                rows = [(part, keys, counts.astype(np.int64).tobytes()) for part, keys, counts in rows if keys]
+                    rows.append((part, squeezed(found[mine]), squeezed(counts[mine])))
+                seen = Counter(body.split())
+                words, counts = list(seen), np.fromiter(seen.values(), np.uint32, len(seen)) * (not held)
+                owner = _word_part(words, parts)
+                for part in np.unique(owner).tolist():
+                    mine = np.flatnonzero(owner == part)
+                    keys = zstandard.compress(b" ".join(map(words.__getitem__, mine.tolist())), 1)
+                    rows.append((parts + part, keys, squeezed(counts[mine].astype(np.uint32))))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([x for x, _, _ in rows], pa.int32()),
@@ -135,20 +149,24 @@ def reports(blocks: DataFrame, parts: int) -> DataFrame:
     return blocks.select("block", "held", "body").mapInArrow(report, "part int, block string, keys binary, counts binary")
 
 
+def _words(data: bytes) -> list[bytes]:
+    return zstandard.decompress(data).split(b" ")
+
+
 def _added(rows: pd.DataFrame, parts: int) -> tuple[bytes, bytes]:
     """Keys and added counts of several reports of a part."""
+    kind = np.int64 if "bundle" in rows else np.uint32
+    given = [spread(x, kind) for x in rows["counts"]]
     if rows.part.iloc[0] < parts:
-        keys = np.concatenate([np.frombuffer(x, np.int64) for x in rows["keys"]])
+        keys = np.concatenate([spread(x, np.int64) for x in rows["keys"]])
         found, place = np.unique(keys, return_inverse=True)
-        total = np.zeros(len(found), np.int64)
-        np.add.at(total, place, np.concatenate([np.frombuffer(x, np.int64) for x in rows["counts"]]))
-        return found.tobytes(), total.tobytes()
+        total = np.bincount(place, weights=np.concatenate(given), minlength=len(found))
+        return squeezed(found), squeezed(total.astype(np.int64))
     sums: dict[bytes, int] = {}
-    for keys, counts in zip(rows["keys"], rows["counts"], strict=True):
-        for word, n in zip(keys.split(b" "), np.frombuffer(counts, np.int64).tolist(), strict=True):
+    for keys, counts in zip(rows["keys"], given, strict=True):
+        for word, n in zip(_words(keys), counts.tolist(), strict=True):
             sums[word] = sums.get(word, 0) + n
-    words = sorted(sums)
-    return b" ".join(words), np.array([sums[word] for word in words], np.int64).tobytes()
+    return zstandard.compress(b" ".join(sums), 1), squeezed(np.fromiter(sums.values(), np.int64, len(sums)))
 
 
 def merged(asked: DataFrame, parts: int, groups: int) -> DataFrame:
@@ -159,11 +177,11 @@ def merged(asked: DataFrame, parts: int, groups: int) -> DataFrame:
         return pd.DataFrame({"part": [rows.part.iloc[0]], "keys": [keys], "counts": [counts]})
 
     schema = "part int, keys binary, counts binary"
-    if groups > 1:
-        asked = asked.groupBy("part", F.pmod(F.xxhash64("block"), F.lit(groups)).alias("bundle")).applyInPandas(
-            add, schema
-        )
-    return asked.select("part", "keys", "counts").groupBy("part").applyInPandas(add, schema)
+    if groups == 1:
+        return asked.select("part", "keys", "counts").groupBy("part").applyInPandas(add, schema)
+    bundle = F.pmod(F.xxhash64("block"), F.lit(groups))
+    first = asked.select("part", "keys", "counts", bundle.alias("of")).groupBy("part", "of").applyInPandas(add, schema)
+    return first.withColumn("bundle", F.lit(0)).groupBy("part").applyInPandas(add, schema)
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -208,7 +226,7 @@ def _shorter(found: np.ndarray, counts: np.ndarray, depth: int) -> tuple[np.ndar
 
 def subtrees(found: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, dict[int, np.ndarray]]:
     """For each string the probabilities of its eight bits from depth ``ROOT`` down, not a number where that depth
-    has no node; and the sums that depth ``ROOT - 1`` needs: key with bit number, zeros, ones, block probability."""
+    has no node; and the sums that depth ``ROOT - 1`` needs, by bit: keys, zeros, ones, block probabilities."""
     wanted = found
     chances = np.full((len(wanted), 8), np.nan)
     trained = counts > 0
@@ -284,54 +302,58 @@ class Top:
         return total
 
 
-def model(found: DataFrame, parts: int) -> DataFrame:
-    """``part, keys, values, sums``: for strings the chances of their bits and the sums for the top, for words the
-    counts."""
+def above(known: DataFrame, parts: int) -> DataFrame:
+    """``bit, key, zeros, ones, below``: what the nodes of depth ``ROOT - 1`` get from the subtrees of each part."""
 
     def build(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, keys, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                values, sums = counts, []
-                if part < parts:
-                    chances, top = subtrees(np.frombuffer(keys, np.int64), np.frombuffer(counts, np.int64))
-                    values = chances.tobytes()
-                    for number, table in top.items():
-                        sums += [
-                            {"bit": number, "key": int(k), "zeros": z, "ones": o, "below": b} for k, z, o, b in table.T
-                        ]
-                kind = pa.list_(pa.struct({"bit": pa.int32(), "key": pa.int64(), "zeros": pa.float64(), "ones": pa.float64(), "below": pa.float64()}))
-                arrays = [pa.array([part], pa.int32()), pa.array([keys], pa.binary()), pa.array([values], pa.binary())]
-                yield pa.RecordBatch.from_arrays([*arrays, pa.array([sums], kind)], ["part", "keys", "values", "sums"])
+            for keys, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                _, sums = subtrees(spread(keys, np.int64), spread(counts, np.int64))
+                for bit, table in sums.items():
+                    columns = [pa.array([bit] * table.shape[1], pa.int32()), pa.array(table[0].astype(np.int64))]
+                    columns += [pa.array(values) for values in table[1:]]
+                    yield pa.RecordBatch.from_arrays(columns, ["bit", "key", "zeros", "ones", "below"])
 
-    schema = (
-        "part int, keys binary, values binary,"
-        " sums array<struct<bit: int, key: bigint, zeros: double, ones: double, below: double>>"
-    )
-    return found.select("part", "keys", "counts").mapInArrow(build, schema)
+    rows = known.where(F.col("part") < parts).select("keys", "counts")
+    return rows.mapInArrow(build, "bit int, key long, zeros double, ones double, below double")
 
 
 def answers(asked: DataFrame, known: DataFrame, parts: int, groups: int, top: Broadcast) -> DataFrame:
     """``block, part, values``: for each report its strings' logarithms or its words' counts, in its order."""
+
+    def finish(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, keys, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if part < parts:
+                    found = spread(keys, np.int64)
+                    chances, _ = subtrees(found, spread(counts, np.int64))
+                    counts = squeezed(top.value.finish(found, chances))
+                columns = [pa.array([part], pa.int32()), pa.array([keys], pa.binary()), pa.array([counts], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["part", "all", "values"])
+
+    finished = known.select("part", "keys", "counts").mapInArrow(finish, "part int, all binary, values binary")
+    bundles = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"), F.lit(1).cast("long")))
+    held = finished.select("*", bundles.alias("bundle"))
     bundle = F.pmod(F.xxhash64("block"), F.lit(groups))
     questions = asked.select("part", bundle.alias("bundle"), "block", "keys").groupBy("part", "bundle")
-    bundles = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"), F.lit(1).cast("long")))
-    held = known.select("part", bundles.alias("bundle"), F.col("keys").alias("all"), "values")
 
     def answer(rows: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
-        if not len(rows):
-            return pd.DataFrame({"block": [], "part": [], "values": []})
-        part, given = int(rows.part.iloc[0]), []
-        everything, values = table["all"].iloc[0], table["values"].iloc[0]
-        if part < parts:
-            everything = np.frombuffer(everything, np.int64)
-            values = top.value.finish(everything, np.frombuffer(values).reshape(-1, 8))
-            given = [values[np.searchsorted(everything, np.frombuffer(x, np.int64))] for x in rows["keys"]]
-        else:
-            counts = dict(zip(everything.split(b" "), np.frombuffer(values, np.int64).tolist(), strict=True))
-            given = [np.array([counts[word] for word in x.split(b" ")], np.int64) for x in rows["keys"]]
+        given: list[bytes] = []
+        if len(rows):
+            everything, values = table["all"].iloc[0], table["values"].iloc[0]
+            if table.part.iloc[0] < parts:
+                everything, values = spread(everything, np.int64), spread(values, np.float64).astype(np.float32)
+                # Single precision holds a byte's logarithm to seven digits, a text's sum to more.
+                for asks in rows["keys"]:
+                    given.append(squeezed(values[np.searchsorted(everything, spread(asks, np.int64))]))
+            else:
+                counts = dict(zip(_words(everything), spread(values, np.int64).tolist(), strict=True))
+                for asks in rows["keys"]:
+                    words = _words(asks)
+                    given.append(squeezed(np.fromiter(map(counts.__getitem__, words), np.int64, len(words))))
         # An object column is one Arrow array, also where the rows came in several batches.
         block = pd.Series(rows.block.tolist(), dtype=object)
-        return pd.DataFrame({"block": block, "part": rows.part.tolist(), "values": [x.tobytes() for x in given]})
+        return pd.DataFrame({"block": block, "part": rows.part.tolist(), "values": given})
 
     return questions.cogroup(held.groupBy("part", "bundle")).applyInPandas(answer, "block string, part int, values binary")
 
@@ -341,24 +363,27 @@ def scored(blocks: DataFrame, given: DataFrame, parts: int, total: int, distinct
     floor = np.log10(total + SMOOTHING * (distinct + 1)) if total else np.log10(SMOOTHING)
 
     def score(rows: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
-        body, ids, held = rows.body.iloc[0], rows.ids.iloc[0], bool(rows.held.iloc[0])
+        body, ids, held = zstandard.decompress(rows.body.iloc[0]), rows.ids.iloc[0], bool(rows.held.iloc[0])
         by_part = dict(zip(table.part, table["values"], strict=True))
-        found, place = np.unique(strings(body), return_inverse=True)
-        owner, logs = _part(found, parts), np.zeros(len(found))
-        for part in np.unique(owner):
-            logs[owner == part] = np.frombuffer(by_part[part])
+        place, found = pd.factorize(strings(body))
+        order = np.argsort(found)
+        found, logs = found[order], np.zeros(len(found))
+        owner, sums = _part(found, parts), np.zeros(len(found))
+        for part in np.unique(owner).tolist():
+            sums[owner == part] = spread(by_part[part], np.float32)
+        logs[order] = sums
         values = np.frombuffer(body, np.uint8)
         last = np.flatnonzero(values == END[0])
         first = np.concatenate([[0], last[:-1] + 1])
         text_logs = np.add.reduceat(logs[place], first)
 
         words = body.split()
-        seen = sorted(set(words))
-        owner, counts = _word_part(seen, parts), np.zeros(len(seen), np.int64)
-        for part in np.unique(owner):
-            counts[owner == part] = np.frombuffer(by_part[parts + part], np.int64)
-        number = {word: i for i, word in enumerate(seen)}
-        each = counts[np.fromiter(map(number.__getitem__, words), np.int64, len(words))]
+        number: dict[bytes, int] = {}
+        each = np.fromiter((number.setdefault(word, len(number)) for word in words), np.int64, len(words))
+        owner, counts = _word_part(list(number), parts), np.zeros(len(number), np.int64)
+        for part in np.unique(owner).tolist():
+            counts[owner == part] = spread(by_part[parts + part], np.int64)
+        each = counts[each]
         # Running sums, so that texts without words need no case of their own.
         sizes = np.diff(np.concatenate([[0], np.cumsum(values == 32)[last]]))
         of = np.repeat(np.arange(len(sizes)), sizes)
@@ -421,16 +446,16 @@ def _score_texts(docs, held_out, id, text, block_bytes, part_bytes) -> DataFrame
     n_bytes, n_blocks, ends = (x or 0 for x in size)
     parts, groups = max(1, -(-n_bytes // part_bytes)), max(1, -(-n_blocks // MERGED))
     asked, at_asked = written(reports(blocks, parts), "reports")
-    known, at_known = written(model(merged(asked, parts, groups), parts), "context-trees")
-    sums = known.select(F.explode("sums").alias("x")).select("x.*").groupBy("bit", "key")
+    known, at_known = written(merged(asked, parts, groups), "strings")
     # 255 nodes for each byte before, and the bits before: 65,535 at most.
+    sums = above(known, parts).groupBy("bit", "key")
     top = sums.agg(*(F.sum(x).alias(x) for x in ("zeros", "ones", "below"))).collect()
     top = spark.sparkContext.broadcast(Top(row.asDict() for row in top))
     words, distinct = _word_totals(known.where(F.col("part") >= parts))
     total, distinct = words + ends, distinct + (ends > 0)
-    given, at_given = written(answers(asked, known, parts, groups, top), "answers")
+    given = answers(asked, known, parts, groups, top)
     found, _ = written(scored(blocks, given, parts, total, distinct, ends), "scores")
-    discard(spark, at_blocks, at_asked, at_known, at_given)
+    discard(spark, at_blocks, at_asked, at_known)
     return found.withColumnRenamed("id", id)
 
 
@@ -439,9 +464,9 @@ def _word_totals(words: DataFrame) -> tuple[int, int]:
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts = [np.frombuffer(x, np.int64) for x in batch.column(0).to_pylist()]
+            counts = [spread(x, np.int64) for x in batch.column(0).to_pylist()]
             rows = [pa.array([int(x.sum()) for x in counts], pa.int64()), pa.array([int((x > 0).sum()) for x in counts], pa.int64())]
             yield pa.RecordBatch.from_arrays(rows, ["n", "v"])
 
-    found = words.select("values").mapInArrow(count, "n long, v long").agg(F.sum("n"), F.sum("v")).first()
+    found = words.select("counts").mapInArrow(count, "n long, v long").agg(F.sum("n"), F.sum("v")).first()
     return found[0] or 0, found[1] or 0
