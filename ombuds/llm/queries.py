@@ -4,20 +4,38 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ombuds.llm import bpe, context_tree, decontaminate, html_text, line_chunks, neighbours, simhash_groups, token_counts
+from ombuds.llm import bpe, context_tree, decontaminate, html_text, line_chunks, line_crf, neighbours, simhash_groups, token_counts, training_order
 from ombuds.llm.common import table
+from ombuds.session import scratch
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+#: The same vocabulary as ranks, its pattern, and the id that ends a text.
+RANKS, PATTERN, END = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, 50256
+#: Documents from this quality on are kept.
+QUALITY = 0.3
 
 
 def _fold(folds: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % folds == 0
 
 
+def quality_weights(docs: DataFrame, labels: DataFrame) -> np.ndarray:
+    """Learned from the labels outside the held-out fold."""
+    return line_crf.fit(docs, labels, F.crc32(F.col("key").cast("string")) % 5 != 0)
+
+
+def op1_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = line_crf.score(docs, quality_weights(docs, table(spark, sf_dir, "labels")))
+    predicted = F.when(F.col("score") >= QUALITY, 1).otherwise(0).alias("predicted")
+    return scored.select("doc_id", F.coalesce(_fold(5), F.lit(False)).alias("held_out"), "score", predicted)
+
+
 def op2_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_tree.score_texts(table(spark, sf_dir, "documents"), _fold(10))
 
@@ -47,6 +65,17 @@ def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(vectors, vectors.where("vec_id % 100 = 0"))
 
 
+def op7_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per sequence: where it is, and a digest of its record as read from the shards."""
+    out = scratch(spark, "shards")
+    training_order.materialise(table(spark, sf_dir, "documents"), out, RANKS, PATTERN, END)
+    place = (F.col("slot") % training_order.SHARD_SLOTS) * (2 * training_order.LENGTH)
+    found = training_order.shards(spark, out)
+    return found.select(
+        "doc_id", "seq_no", "slot", "shard", place.alias("offset"), "n_tokens", F.md5("record").alias("record_md5")
+    )
+
+
 def op8_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     cut = line_chunks.dedup_lines(docs, report=True)
@@ -70,11 +99,13 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_crf": op1_line_crf,
     "op2_context_tree": op2_context_tree,
     "op3_token_counts": op3_token_counts,
     "op4_decontaminate": op4_decontaminate,
     "op5_html_text": op5_html_text,
     "op6_neighbours": op6_neighbours,
+    "op7_training_order": op7_training_order,
     "op8_line_chunks": op8_line_chunks,
     "op9_simhash_groups": op9_simhash_groups,
     "op10_bpe": op10_bpe,
