@@ -145,12 +145,20 @@ def near_duplicates(
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 3, bits: int = 2) -> DataFrame:
     """The row with the smallest id of each group of near duplicates, all its columns unchanged.
 
-    Ties of the id are broken by the text; a null id comes last. Exact repeats of a row are near duplicates of it.
+    Ties of the id are broken by a hash of the text; a null id comes last. Of repeated rows one stays. Which row stays
+    is found on ids and hashes alone, each fingerprint first; only then are whole rows looked at, under keys of their
+    own, so a group of very many copies never meets in one task.
     """
-    names = ["__fp", "__group", "__turn"]
-    printed, _ = written(fingerprints(docs, text, names[0], shingle), "fingerprints")
-    ids = printed.select(F.col(f"`{id}`").alias("id"), F.col(names[0]).alias("fp"))
-    groups = _grouped(ids, bits).select(F.col("fp").alias(names[0]), F.col("group").alias(names[1]))
-    order = [F.col(f"`{id}`").asc_nulls_last(), F.col(f"`{text}`").asc_nulls_last()]
-    first = F.row_number().over(Window.partitionBy(names[1]).orderBy(*order))
-    return printed.join(groups, names[0]).withColumn(names[2], first).where(F.col(names[2]) == 1).drop(*names)
+    names = ["__fp", "__id", "__mark"]
+    body = F.col(f"`{text}`")
+    printed, _ = written(fingerprints(docs, text, "__fp", shingle), "fingerprints")
+    marked = printed.withColumn("__id", F.struct(F.col(f"`{id}`").isNull(), F.col(f"`{id}`")))
+    marked = marked.withColumn("__mark", F.coalesce(F.xxhash64(body), F.lit(0)))
+    least = marked.groupBy("__fp").agg(F.min(F.struct("__id", "__mark")).alias("x"))
+    groups = _grouped(printed.select(F.col(f"`{id}`").alias("id"), F.col("__fp").alias("fp")), bits)
+    groups = groups.select(F.col("fp").alias("__fp"), "group")
+    winners = least.join(groups, "__fp").groupBy("group").agg(F.min(F.struct("x", "__fp")).alias("y"))
+    winners = winners.select("y.__fp", "y.x.__id", "y.x.__mark")
+    turn = F.row_number().over(Window.partitionBy(*names).orderBy(F.lit(0)))
+    kept = marked.join(winners, names).withColumn("__turn", turn).where(F.col("__turn") == 1)
+    return kept.select(*(F.col(f"`{name}`") for name in docs.columns))
