@@ -20,7 +20,7 @@ from ombuds.operators.tables import VersionedTable
 from ombuds.operators.upsert import upsert
 from ombuds.plans import analytics, marts, pipeline, staging
 from ombuds.schemas import AGENTS, AUDIT, CALL_CENTER_LOGS, CUSTOMERS, RAW_TABLES, SOCIAL_MEDIA, UNIFIED, WEB_COMPLAINTS
-from ombuds.session import conf, configure, scratch
+from ombuds.session import conf, configure, move_path, remove_path, scratch
 from ombuds.sources import files, landing
 from ombuds.sources.paths import AGENT_SHEET, CALL_LOGS, MEDIA, STATIC, WEB_FORMS
 from ombuds.sources.stage import list_files, read_staged
@@ -125,7 +125,8 @@ def dim_date(spark, sf_dir):
     """The calendar with the number of complaints started on each day."""
     day = F.to_date("started_at").alias("date_day")
     started = _unified(spark, sf_dir).groupBy(day).agg(F.count(F.lit(1)).alias("complaints"))
-    calendar = marts.dim_date(spark).join(started, "date_day", "left")
+    # Days outside the calendar, and complaints without a day, keep their counts beside an empty calendar row.
+    calendar = marts.dim_date(spark).join(started, "date_day", "full")
     return calendar.withColumn("complaints", F.coalesce("complaints", F.lit(0).cast("bigint")))
 
 
@@ -406,6 +407,16 @@ def land_daily_overwrite(spark, sf_dir):
     return days.agg(F.count(F.lit(1)).alias("rows"))
 
 
+@query
+def land_empty_day(spark, sf_dir):
+    """The rows of two landed days after one of them was landed again without rows."""
+    target, reader = scratch(spark, "landed"), _web_reader(sf_dir)
+    none = lambda session, name: reader(session, name).where("false")
+    for day, rows in (("2025-11-20", reader), ("2025-11-21", reader), ("2025-11-20", none)):
+        done = landing.land(spark, "", target, day, WEB_FORMS, run_time=RUN_TIME, table_reader=rows)
+    return spark.read.parquet(done.path).withColumn(landing.DAY, F.col(landing.DAY).cast("string"))
+
+
 # Staging scans
 
 
@@ -494,6 +505,25 @@ def load_daily(spark, sf_dir):
     return house.raw("web_complaints").read()
 
 
+@query
+def load_after_bad_file(spark, sf_dir):
+    """The RAW web table when a day's damaged file was skipped, put right and loaded the next time."""
+    web = adapters.web_complaints(spark, sf_dir)
+    house = pipeline.Warehouse(spark, scratch(spark, "landed"), scratch(spark, "house"), BUCKETS)
+    _write_landed_web(_before(web, SPLIT), house.landed, "2025-11-20")
+    day = f"{house.landed}/raw/postgres/dt=2025-11-21"
+    spark.range(1).select(F.lit("damaged").alias("value")).write.option("compression", "none").text(day)
+    damaged = spark.read.text(day).inputFiles()[0]
+    move_path(spark, damaged, f"{day}/part-0.parquet")
+    first = pipeline.load_daily(house, WEB_COMPLAINTS, RUN_TIME)
+    if len(first.rejected) != 1:
+        raise AssertionError(f"one damaged file, but {first.rejected} were left out")
+    remove_path(spark, day)
+    _write_landed_web(_since(web, SPLIT), house.landed, "2025-11-21")
+    pipeline.load_daily(house, WEB_COMPLAINTS, SECOND_RUN)
+    return house.raw("web_complaints").read()
+
+
 @query
 def stream_daily_load(spark, sf_dir):
     """The same two loads through a file stream."""
@@ -655,4 +685,4 @@ def unassigned_agent(spark, sf_dir):
     fact = _unified(spark, sf_dir).withColumn("agent_id", F.when(~social, F.col("agent_id")))
     per_agent = marts.assign_agents(fact).groupBy("agent_id").agg(F.count(F.lit(1)).alias("complaints"))
     agents = marts.dim_agents(stg_agents(spark, sf_dir), unassigned=True)
-    return agents.join(per_agent, "agent_id").select("agent_id", "agent_name", "experience", "complaints")
+    return per_agent.join(agents, "agent_id", "left").select("agent_id", "agent_name", "experience", "complaints")

@@ -17,7 +17,7 @@ from ombuds.schemas import AUDIT, RAW_TABLES, UNIFIED, RawTable
 from ombuds.sources.landing import utc_now
 from ombuds.sources.ledger import Ledger
 from ombuds.sources.paths import RAW_FOLDERS
-from ombuds.sources.stage import list_files, read_staged
+from ombuds.sources.stage import list_files, read_checked, read_staged
 
 # The pipeline merges calls on their own id: the row number of a daily file restarts every day.
 MERGE_KEYS = {"call_center_logs": "call_id"}
@@ -31,6 +31,10 @@ def fill_audit(df: DataFrame, run_time: dt.datetime, only_missing: bool = False)
     return df.withColumn(AUDIT, now)
 
 
+class FailedTests(RuntimeError):
+    """Declared tests of marts that failed."""
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """Folders of one installation: landed files, RAW tables and marts."""
@@ -71,8 +75,19 @@ def load_static(warehouse: Warehouse, table: RawTable, run_time: dt.datetime | N
     return warehouse.raw(table.name).replace(stamped, check=require_rows)
 
 
-def load_daily(warehouse: Warehouse, table: RawTable, run_time: dt.datetime | None = None) -> int:
-    """Load files not loaded before and merge them. Returns the number of files.
+@dataclass(frozen=True)
+class Load:
+    """Outcome of a daily load: number of files loaded, and paths of files that could not be read."""
+
+    loaded: int = 0
+    rejected: tuple[str, ...] = ()
+
+
+def load_daily(warehouse: Warehouse, table: RawTable, run_time: dt.datetime | None = None) -> Load:
+    """Load files not loaded before and merge them.
+
+    A file that cannot be read to its end is skipped, reported, and not recorded: it stays new, so it is loaded once
+    it is put right, or once a passing fault of the storage is over.
 
     The ledger is written last: a run lost in between loads the same files again, and merging the same rows
     twice changes nothing.
@@ -81,13 +96,17 @@ def load_daily(warehouse: Warehouse, table: RawTable, run_time: dt.datetime | No
     ledger = warehouse.ledger(table.name)
     files = ledger.new_files(warehouse.folder(table.name)).collect()
     if not files:
-        return 0
-    rows = read_staged(warehouse.spark, table, [file.path for file in files])
+        return Load()
+    rows, taken = read_checked(warehouse.spark, table, [file.path for file in files])
+    accepted = [file for file in files if file.path in set(taken)]
+    rejected = tuple(file.path for file in files if file.path not in set(taken))
+    if not accepted:
+        return Load(0, rejected)
     target = warehouse.raw(table.name)
     update = table.update if target.key == table.merge_key else _without_key(table, target.key)
     target.merge(fill_audit(rows, run_time, only_missing=True), update)
-    ledger.record(files, run_time)
-    return len(files)
+    ledger.record(accepted, run_time)
+    return Load(len(accepted), rejected)
 
 
 def _without_key(table: RawTable, key: str) -> tuple[str, ...] | None:
@@ -97,7 +116,11 @@ def _without_key(table: RawTable, key: str) -> tuple[str, ...] | None:
 
 
 def build_marts(warehouse: Warehouse, as_of: dt.date | None = None) -> dict[str, str]:
-    """Rebuild dimensions and channel facts, and bring the unified fact up to date."""
+    """Rebuild dimensions and channel facts, and bring the unified fact up to date.
+
+    The declared tests run on the new frames first. If one fails, ``FailedTests`` is raised and nothing is published:
+    readers keep the marts of the last good build.
+    """
     staged = warehouse.staging()
     day = None if as_of is None else F.lit(as_of)
     frames = {
@@ -108,6 +131,9 @@ def build_marts(warehouse: Warehouse, as_of: dt.date | None = None) -> dict[str,
         "fct_web_complaints": marts.fct_web_complaints(staged["stg_web_complaints"]),
         "fct_social_media": marts.fct_social_media(staged["stg_social_media"]),
     }
+    failed = check_marts(frames).where("failures > 0").collect()
+    if failed:
+        raise FailedTests("; ".join(f"{row.test} of {row.table}.{row.column}: {row.failures}" for row in failed))
     for name, frame in frames.items():
         mart(warehouse, name, frame).replace(frame)
     marts.refresh_unified(

@@ -88,6 +88,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if it is there."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def move_path(spark: SparkSession, path: str, target: str) -> None:
+    paths = spark.sparkContext._jvm.org.apache.hadoop.fs
+    source = paths.Path(path)
+    source.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).rename(source, paths.Path(target))
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"

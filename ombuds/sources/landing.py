@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ombuds.functions.names import rename_all
-from ombuds.session import path_exists
+from ombuds.session import path_exists, remove_path
 from ombuds.sources.files import as_text, read_file
 from ombuds.sources.jdbc import TableMissing, TableReader, read_table
 from ombuds.sources.paths import AGENT_SHEET, Route, route
@@ -37,15 +37,14 @@ def utc_now() -> dt.datetime:
 
 
 def write_landed(df: DataFrame, root: str, chosen: Route) -> Landing:
-    """Overwrite the source's folder, or only its day in it; counts rows while writing."""
+    """Overwrite the source's folder, or only its day in it; counts rows while writing.
+
+    The day's folder itself is written, so that a day landed again without rows is empty afterwards.
+    """
     path = f"{root.rstrip('/')}/{chosen.target}"
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    if chosen.day is None:
-        counted.write.mode("overwrite").parquet(path)
-    else:
-        by_day = counted.withColumn(DAY, F.lit(chosen.day)).write.partitionBy(DAY).mode("overwrite")
-        by_day.option("partitionOverwriteMode", "dynamic").parquet(path)
+    counted.write.mode("overwrite").parquet(path if chosen.day is None else f"{path}/{DAY}={chosen.day}")
     return Landing(LANDED, path, seen.get["rows"])
 
 
@@ -77,5 +76,7 @@ def land(
     except TableMissing:
         return Landing(SKIPPED)
     if df is None or (source == AGENT_SHEET and df.isEmpty()):
+        if chosen.day is not None:
+            remove_path(spark, f"{target.rstrip('/')}/{chosen.target}/{DAY}={chosen.day}")
         return Landing(EMPTY)
     return write_landed(stamp(as_text(df), run_time or utc_now()), target, chosen)

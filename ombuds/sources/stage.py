@@ -113,14 +113,26 @@ def read_staged(
     check_files: bool = True,
     lineage: bool = False,
 ) -> DataFrame:
-    """Rows of ``files`` with the business columns of ``table``, all text.
+    """``read_checked`` without the list of files."""
+    return read_checked(spark, table, files, check_files, lineage)[0]
+
+
+def read_checked(
+    spark: SparkSession,
+    table: RawTable,
+    files: list[str],
+    check_files: bool = True,
+    lineage: bool = False,
+) -> tuple[DataFrame, list[str]]:
+    """Rows of ``files`` with the business columns of ``table``, all text, and the files they come from; those left
+    out could not be read to their end.
 
     Without declared spellings a column is matched by name ignoring case. With them, a column takes the
     first non-NULL of its spellings and all other columns must be spelled as declared. Columns a file lacks
     are NULL and columns the table lacks are ignored. ``lineage`` adds the file a row came from.
     """
     extra = [F.col("_metadata.file_path").alias(SOURCE_FILE)] if lineage else []
-    parts = []
+    parts, taken = [], []
     for schema, paths in group_by_schema(spark, files):
         picked = _picked(table, schema)
         wanted = {name for names in picked.values() for name in names}
@@ -137,10 +149,11 @@ def read_staged(
                 shared_dir(spark)
                 rows = rows.checkpoint()
         parts.append(rows)
+        taken += good
     if not parts:
         columns = [*table.business, SOURCE_FILE] if lineage else table.business
-        return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in columns]))
-    return reduce(DataFrame.unionByName, parts)
+        return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in columns])), []
+    return reduce(DataFrame.unionByName, parts), taken
 
 
 def _picked(table: RawTable, schema: T.StructType) -> dict[str, list[str]]:

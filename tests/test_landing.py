@@ -36,20 +36,22 @@ def test_routes():
 
 
 def test_static_customers(spark, tmp_path):
-    put(tmp_path, "customers/customers_dataset.csv", "customer_id,name,join_date\n101,Alice,2023-01-01")
+    put(tmp_path, "customers/customers_dataset.csv", 'customer_id,name,join_date\n007,"Ode, Ida ""Io""",2019-12-31\n8,,')
     done = land(spark, tmp_path, "STATIC", STATIC)
-    assert (done.status, done.rows) == (landing.LANDED, 1)
-    assert rows(spark.read.parquet(done.path)) == [("101", "Alice", "2023-01-01", "2025-11-21 06:00:00")]
+    assert (done.status, done.rows) == (landing.LANDED, 2)
+    stamp = "2025-11-21 06:00:00"
+    assert rows(spark.read.parquet(done.path)) == [("007", 'Ode, Ida "Io"', "2019-12-31", stamp), ("8", None, None, stamp)]
 
 
 def test_call_logs(spark, tmp_path):
     header = "call ID,customeR iD,COMPLAINT_catego ry,agent ID,call_start_time"
-    put(tmp_path, f"call logs/call_logs_day_{DAY}.csv", header + "\n1,CUST001,Billing,101,2025-01-01 10:00:00")
+    put(tmp_path, f"call logs/call_logs_day_{DAY}.csv", header + "\n0042,q-9,\"Line, fault\",,1999-12-31 23:59:59")
     df = spark.read.parquet(land(spark, tmp_path, DAY, CALL_LOGS).path)
     assert df.columns == [
         "call_id", "customer_id", "complaint_catego_ry", "agent_id", "call_start_time", "load_time", "dt",
     ]
     assert df.first().dt == dt.date(2025, 11, 20)
+    assert tuple(df.first())[:5] == ("0042", "q-9", "Line, fault", None, "1999-12-31 23:59:59")
 
 
 def test_social_media(spark, tmp_path):
@@ -97,9 +99,9 @@ def test_jdbc_options():
 
 
 def test_sheet(spark, tmp_path):
-    put(tmp_path, "agents/agents.csv", "iD,NamE,experience,state\n1000,Allison,Mid,RI\n")
+    put(tmp_path, "agents/agents.csv", "iD,NamE,experience,state\n0300,Ümit,,\n")
     done = land(spark, tmp_path, DAY, AGENT_SHEET)
-    assert rows(spark.read.parquet(done.path), "id", "name") == [("1000", "Allison")]
+    assert rows(spark.read.parquet(done.path), "id", "name") == [("0300", "Ümit")]
 
 
 def test_empty_sheet_writes_nothing(spark, tmp_path):

@@ -27,10 +27,10 @@ def land_web(spark, folder, day, *records):
 def test_daily_load_takes_each_file_once(spark, tmp_path):
     wh = house(spark, tmp_path)
     land_web(spark, wh.landed, "2025-11-20", ("1", "a", "Backlog"), ("2", "a", "Backlog", "2025-01-01"))
-    assert pipeline.load_daily(wh, WEB_COMPLAINTS, RUN[0]) == 1
-    assert pipeline.load_daily(wh, WEB_COMPLAINTS, RUN[1]) == 0
+    assert pipeline.load_daily(wh, WEB_COMPLAINTS, RUN[0]).loaded == 1
+    assert pipeline.load_daily(wh, WEB_COMPLAINTS, RUN[1]).loaded == 0
     land_web(spark, wh.landed, "2025-11-21", ("2", "a", "Resolved"), ("3", "b", "Backlog"))
-    assert pipeline.load_daily(wh, WEB_COMPLAINTS, RUN[2]) == 1
+    assert pipeline.load_daily(wh, WEB_COMPLAINTS, RUN[2]).loaded == 1
     found = rows(wh.raw("web_complaints").read(), "request_id", "resolutionstatus", "resolution_date", AUDIT)
     assert found == [
         ("1", "Backlog", None, RUN[0]),
@@ -46,7 +46,7 @@ def test_load_lost_before_the_ledger_is_written_can_be_repeated(spark, tmp_path,
         patched.setattr(pipeline.Ledger, "record", lambda *_: (_ for _ in ()).throw(OSError("lost")))
         with pytest.raises(OSError):
             pipeline.load_daily(wh, WEB_COMPLAINTS, RUN[0])
-    assert pipeline.load_daily(wh, WEB_COMPLAINTS, RUN[0]) == 1
+    assert pipeline.load_daily(wh, WEB_COMPLAINTS, RUN[0]).loaded == 1
     assert rows(wh.raw("web_complaints").read(), "request_id") == [("1",)]
 
 
@@ -183,3 +183,33 @@ def test_stream_in_small_batches(spark, tmp_path):
         spark, SOCIAL_MEDIA, f"{folder}/in", target, f"{folder}/cp", RUN[0], files_per_batch=1
     )
     assert merged == 3 and rows(target.read(), "complaint_id") == [("0",), ("1",), ("2",), ("x",)]
+
+
+def test_failed_tests_keep_the_marts_of_the_last_good_build(spark, tmp_path):
+    wh, path = house(spark, tmp_path), f"file://{tmp_path}/landed/raw/customers"
+    day = dt.date(2025, 11, 21)
+    for names in (["Ida"], ["Ida", "Ole"]):
+        people = spark.createDataFrame([("7", name) for name in names], "customer_id string, name string")
+        people.write.mode("overwrite").parquet(path)
+        pipeline.load_static(wh, CUSTOMERS, RUN[0])
+        if len(names) == 1:
+            pipeline.build_marts(wh, day)
+    with pytest.raises(pipeline.FailedTests, match="unique of dim_customers.customer_id"):
+        pipeline.build_marts(wh, day)
+    shape = pipeline.marts.dim_customers(wh.staging()["stg_customers"])
+    assert rows(pipeline.mart(wh, "dim_customers", shape).read(), "customer_name") == [("Ida",)]
+
+
+def test_skipped_files_are_reported_and_stay_new(spark, tmp_path):
+    wh = house(spark, tmp_path)
+    land_web(spark, wh.landed, "2025-11-20", ("1", "a", "Backlog"))
+    bad = tmp_path / "landed" / "raw" / "postgres" / "dt=2025-11-21" / "bad.parquet"
+    bad.parent.mkdir(parents=True)
+    bad.write_bytes(b"damaged")
+    done = pipeline.load_daily(wh, WEB_COMPLAINTS, RUN[0])
+    assert done.loaded == 1 and [name.rsplit("/", 1)[1] for name in done.rejected] == ["bad.parquet"]
+    assert wh.ledger("web_complaints").new_files(wh.folder("web_complaints")).count() == 1
+    assert pipeline.load_daily(wh, WEB_COMPLAINTS, RUN[1]).loaded == 0
+    bad.unlink()
+    land_web(spark, wh.landed, "2025-11-22", ("2", "b", "Backlog"))
+    assert pipeline.load_daily(wh, WEB_COMPLAINTS, RUN[2]) == pipeline.Load(1)
