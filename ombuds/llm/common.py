@@ -59,7 +59,7 @@ def written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     costs nothing that is written."""
     spark = df.sparkSession
     path = scratch(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
