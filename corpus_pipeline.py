@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ombuds.llm import bpe, decontaminate, line_chunks, line_crf, simhash_groups
@@ -26,9 +26,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where(F.col("__quality") >= QUALITY).select(*(F.col(f"`{name}`") for name in docs.columns))
 
 
+def _filled(text: str) -> Column:
+    return F.col(text).rlike(r"\S")
+
+
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without chunks of lines that another one has already; ``n_chars`` follows the text."""
-    cut = line_chunks.dedup_lines(docs)
+    """Documents without chunks of lines that another one has already; ``n_chars`` follows the text.
+
+    A document of which nothing is left goes, as all it had is in others. One that was empty before stays.
+    """
+    filled = docs.withColumn("__filled", F.coalesce(_filled("text"), F.lit(False)))
+    cut = line_chunks.dedup_lines(filled).where(~F.col("__filled") | _filled("text")).drop("__filled")
     return cut.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else cut
 
 

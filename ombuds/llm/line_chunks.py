@@ -5,6 +5,10 @@ line whose rolling hash is divisible by ``lines``, which depends on the lines ar
 elsewhere don't move it. A line of at least ``passage_words`` words is a chunk of its own. A chunk of several lines, or
 of one such long line, stays where it occurs first (smallest id, then place) and goes wherever it comes again.
 
+A chunk of one short line is too little to go by itself. It is taken together with the chunk before it and with the one
+after it, and goes where one of these pairs comes again. So a copied text goes as a whole. What goes always has an
+equal line before it in that order, so each line stays somewhere.
+
 Repeats are found by chunk hashes alone, so no text is shuffled for them. Only chunks of repeated hashes are then
 joined, by hash and text: the text is compared byte by byte.
 """
@@ -59,17 +63,30 @@ def _text(k: Column) -> Column:
     return F.array_join(F.slice("__lines", first, F.get("__ends", k - 1) - first + 1), "\n")
 
 
+def _blank(chunk: Column) -> Column:
+    return F.trim(F.replace(chunk, F.lit("\n"))) == ""
+
+
 def _occurrences(chunked: DataFrame, passage_words: int) -> DataFrame:
-    """A row for each chunk that may go: ``id, mark, k, chunk, c`` (its text and hash)."""
+    """A row for each chunk that may go, and what decides it: ``id, mark, k, at, chunk, c``. ``chunk`` is its own text, or
+    for a short line that of a pair, ``at`` the number of the chunk where it begins, and ``c`` its hash."""
     numbers = F.sequence(F.lit(1), F.size("__ends"))
-    each = F.transform(
-        numbers,
-        lambda k: F.struct(k.alias("k"), (F.get("__ends", k - 1) - _first(k) + 1).alias("n"), _text(k).alias("chunk")),
-    )
-    rows = chunked.select("id", "mark", F.explode(each).alias("x")).select("id", "mark", "x.k", "x.n", "x.chunk")
-    words = F.length("chunk") - F.length(F.replace("chunk", F.lit(" "))) + 1
-    several = (F.col("n") > 1) | (words >= passage_words)
-    return rows.where(several & (F.trim(F.replace("chunk", F.lit("\n"))) != "")).withColumn("c", _hash(F.col("chunk")))
+    texts = chunked.select("id", "mark", "__ends", F.transform(numbers, _text).alias("__chunks"))
+
+    def pair(at: Column, k: Column) -> Column:
+        one, two = F.get("__chunks", at - 1), F.get("__chunks", at)
+        both = F.when(~_blank(one) & ~_blank(two), F.concat_ws("\n", one, two))
+        return F.struct(k.alias("k"), at.alias("at"), both.alias("chunk"))
+
+    def decided_by(k: Column) -> Column:
+        chunk = F.get("__chunks", k - 1)
+        words = F.length(chunk) - F.length(F.replace(chunk, F.lit(" "))) + 1
+        several = (F.get("__ends", k - 1) > _first(k)) | (words >= passage_words)
+        own = F.struct(k.alias("k"), k.alias("at"), F.when(~_blank(chunk), chunk).alias("chunk"))
+        return F.when(several, F.array(own)).otherwise(F.array(pair(k - 1, k), pair(k, k)))
+
+    rows = texts.select("id", "mark", F.inline(F.flatten(F.transform(numbers, decided_by))))
+    return rows.where(F.col("chunk").isNotNull()).withColumn("c", _hash(F.col("chunk")))
 
 
 def dedup_lines(
@@ -95,10 +112,10 @@ def dedup_lines(
     plain = marked.select(F.col("__id").alias("id"), F.col("__mark").alias("mark"), body.alias("text"))
     chunked = _chunked(plain.where(F.length("text") > 0), "text", lines, window, passage_words)
     found = _occurrences(chunked, passage_words)
-    here = F.struct("id", "mark", "k")
+    here = F.struct("id", "mark", "at")
     again = found.groupBy("c").agg(F.min(here).alias("first"), F.max(here).alias("last")).where("first <> last")
     again = small_or_shuffled(again.select("c", "first"), "chunk-hashes", 64)
-    repeated, _ = written(found.join(again, "c").select("c", "id", "mark", "k", "chunk", "first"), "chunks")
+    repeated, _ = written(found.join(again, "c").select("c", "id", "mark", "k", "at", "chunk", "first"), "chunks")
     owners = repeated.where(here == F.col("first")).select("c", "chunk").distinct()
     # Equal hashes are not enough: the texts must be equal too.
     gone = repeated.where(here != F.col("first")).join(owners, ["c", "chunk"], "left_semi")
@@ -144,10 +161,21 @@ WITH lines AS (
          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k FROM ended
 ), chunks AS (
   SELECT doc_id, k, count(*) AS n, string_agg(line, chr(10) ORDER BY place) AS chunk FROM numbered GROUP BY ALL
+), sized AS (
+  SELECT *, n > 1 OR length(chunk) - length(replace(chunk, ' ', '')) + 1 >= {PASSAGE_WORDS} AS several,
+         CASE WHEN trim(replace(chunk, chr(10), ''), ' ') <> '' THEN chunk END AS filled FROM chunks
+), beside AS (
+  SELECT *, lag(filled) OVER w AS before, lead(filled) OVER w AS after FROM sized WINDOW w AS (PARTITION BY doc_id ORDER BY k)
+), deciding AS (
+  SELECT doc_id, k, k AS begins, filled AS body FROM beside WHERE several
+  UNION ALL SELECT doc_id, k, k - 1, before || chr(10) || filled FROM beside WHERE NOT several
+  UNION ALL SELECT doc_id, k, k, filled || chr(10) || after FROM beside WHERE NOT several
+), again AS (
+  SELECT DISTINCT doc_id, k FROM (
+    SELECT doc_id, k, dense_rank() OVER (PARTITION BY body ORDER BY doc_id, begins) AS place FROM deciding WHERE body IS NOT NULL)
+  WHERE place > 1
 ), judged AS (
-  SELECT *, (n > 1 OR length(chunk) - length(replace(chunk, ' ', '')) + 1 >= {PASSAGE_WORDS})
-            AND trim(replace(chunk, chr(10), ''), ' ') <> ''
-            AND row_number() OVER (PARTITION BY chunk ORDER BY doc_id, k) > 1 AS gone FROM chunks
+  SELECT c.*, g.k IS NOT NULL AS gone FROM chunks c LEFT JOIN again g ON c.doc_id = g.doc_id AND c.k = g.k
 ), cut AS (
   SELECT doc_id, sum(n) AS n_lines, count(*) AS n_chunks, count(*) FILTER (gone) AS removed_chunks,
          coalesce(sum(n) FILTER (gone), 0) AS removed_lines,

@@ -76,6 +76,33 @@ def test_single_short_lines_and_blank_chunks_stay(spark):
     assert deduped(spark, rows, lines=1) == dict(rows)
 
 
+def short_lines(seed, count):
+    random.seed(seed)
+    return [" ".join(random.choices(WORDS, k=random.choice((3, 8, 20, 60)))) for _ in range(count)]
+
+
+def test_copies_go_as_a_whole(spark):
+    texts = ["\n".join(short_lines(seed, n)) for seed, n in ((21, 2), (22, 3), (23, 9), (24, 40), (25, 41))]
+    got = deduped(spark, lines(*texts, *texts, *texts))
+    for number, text in enumerate(texts):
+        assert got[number] == text and got[number + 5] == got[number + 10] == ""
+
+
+def test_pairs_with_a_short_line(spark):
+    # With lines=1 each line is a chunk.
+    rows = lines("a\nb\nc", "x\nb\ny", "x\na\nb\ny", "d\nd\nd\nd", "b\nc")
+    assert deduped(spark, rows, lines=1) == {0: "a\nb\nc", 1: "x\nb\ny", 2: "x", 3: "d", 4: ""}
+
+
+def test_each_line_stays_somewhere(spark):
+    random.seed(26)
+    pool = short_lines(27, 12)
+    texts = ["\n".join(random.choices(pool, k=random.randint(1, 9))) for _ in range(60)]
+    got = deduped(spark, lines(*texts))
+    before, after = ({line for text in some for line in text.split("\n") if line} for some in (texts, got.values()))
+    assert before == after and sum(map(len, got.values())) < sum(map(len, texts))
+
+
 def test_equal_hashes_are_not_enough(spark, monkeypatch):
     monkeypatch.setattr(line_chunks, "_hash", lambda value: F.lit(0).cast("long"))
     # All rolling hashes are zero, so each line is a chunk, and all chunks have one hash.
