@@ -10,7 +10,8 @@ after it, and goes where one of these pairs comes again. So a copied text goes a
 equal line before it in that order, so each line stays somewhere.
 
 Repeats are found by chunk hashes alone, so no text is shuffled for them. Only chunks of repeated hashes are then
-joined, by hash and text: the text is compared byte by byte.
+joined, by hash and text: the text is compared byte by byte. The first text of a chunk is joined once for each
+``SALT_ROWS`` of its repeats, which are dealt over as many keys, so a common passage is no one task's work.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from ombuds.llm.common import small_or_shuffled, written
 
 LINES, WINDOW, PASSAGE_WORDS = 2, 2, 50
+SALT_ROWS = 1000
 PRIME, FACTOR = 2_147_483_647, 1_000_003
 LAST_ID = (1 << 63) - 1
 
@@ -113,12 +115,17 @@ def dedup_lines(
     chunked = _chunked(plain.where(F.length("text") > 0), "text", lines, window, passage_words)
     found = _occurrences(chunked, passage_words)
     here = F.struct("id", "mark", "at")
-    again = found.groupBy("c").agg(F.min(here).alias("first"), F.max(here).alias("last")).where("first <> last")
-    again = small_or_shuffled(again.select("c", "first"), "chunk-hashes", 64)
-    repeated, _ = written(found.join(again, "c").select("c", "id", "mark", "k", "at", "chunk", "first"), "chunks")
-    owners = repeated.where(here == F.col("first")).select("c", "chunk").distinct()
+    again = found.groupBy("c").agg(F.min(here).alias("first"), F.max(here).alias("last"), F.count("*").alias("n"))
+    again = again.where("first <> last").select("c", "first", F.expr(f"int(n div {SALT_ROWS}) + 1").alias("salts"))
+    again = small_or_shuffled(again, "chunk-hashes", 68)
+    repeated = found.join(again, "c").select("c", "id", "mark", "k", "at", "chunk", "first", "salts")
+    repeated, _ = written(repeated, "chunks")
+    owners = repeated.where(here == F.col("first")).select("c", "chunk", "salts").distinct()
+    owners = owners.select("c", "chunk", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
     # Equal hashes are not enough: the texts must be equal too.
-    gone = repeated.where(here != F.col("first")).join(owners, ["c", "chunk"], "left_semi")
+    salt = F.pmod(F.xxhash64("id", "mark", "at"), F.col("salts")).cast("int")
+    gone = repeated.where(here != F.col("first")).withColumn("salt", salt)
+    gone = gone.join(owners, ["c", "chunk", "salt"], "left_semi")
     # As many places as the document has chunks at most.
     gone = gone.groupBy("id", "mark").agg(F.collect_set("k").alias("__gone"))
     gone = gone.select(F.col("id").alias("__id"), F.col("mark").alias("__mark"), "__gone")

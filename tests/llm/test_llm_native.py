@@ -94,6 +94,13 @@ def test_pairs_with_a_short_line(spark):
     assert deduped(spark, rows, lines=1) == {0: "a\nb\nc", 1: "x\nb\ny", 2: "x", 3: "d", 4: ""}
 
 
+def test_common_passages_are_dealt_over_keys(spark, monkeypatch):
+    texts = ["\n".join([*short_lines(31, 6), *short_lines(100 + i, 2)]) for i in range(40)]
+    before = deduped(spark, lines(*texts, *texts))
+    monkeypatch.setattr(line_chunks, "SALT_ROWS", 5)
+    assert deduped(spark, lines(*texts, *texts)) == before and len(before[40]) == 0
+
+
 def test_each_line_stays_somewhere(spark):
     random.seed(26)
     pool = short_lines(27, 12)
