@@ -30,13 +30,14 @@ def _filled(text: str) -> Column:
     return F.col(text).rlike(r"\S")
 
 
-def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without chunks of lines that another one has already; ``n_chars`` follows the text.
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str, borders: bool = False) -> DataFrame:
+    """Documents without chunks of lines that another one has already, or with ``borders`` without any passage that one
+    has; ``n_chars`` follows the text.
 
     A document of which nothing is left goes, as all it had is in others. One that was empty before stays.
     """
     filled = docs.withColumn("__filled", F.coalesce(_filled("text"), F.lit(False)))
-    cut = line_chunks.dedup_lines(filled).where(~F.col("__filled") | _filled("text")).drop("__filled")
+    cut = line_chunks.dedup_lines(filled, borders=borders).where(~F.col("__filled") | _filled("text")).drop("__filled")
     return cut.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else cut
 
 

@@ -83,6 +83,14 @@ def op8_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", *counts, F.length("text").alias("n_chars"), F.md5("text").alias("text_md5"))
 
 
+def op8_whole_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``op8_line_chunks`` with the borders of passages."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = line_chunks.dedup_lines(docs, report=True, borders=True)
+    counts = ("n_lines", "n_chunks", "removed_chunks", "removed_lines")
+    return cut.select("doc_id", *counts, F.length("text").alias("n_chars"), F.md5("text").alias("text_md5"))
+
+
 def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, bits=2)
 
@@ -107,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_neighbours": op6_neighbours,
     "op7_training_order": op7_training_order,
     "op8_line_chunks": op8_line_chunks,
+    "op8_whole_passages": op8_whole_passages,
     "op9_simhash_groups": op9_simhash_groups,
     "op10_bpe": op10_bpe,
 }
