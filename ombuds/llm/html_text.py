@@ -4,7 +4,8 @@ The standard library's parser streams a page's events. Blocks of text between bl
 a ratio of characters to tags. The ratios are smoothed with a Gaussian along the page, and lines above a threshold
 form the content clusters. The clusters select the regions of the page that are content: an element such as
 ``article`` or ``div`` whose lines are mostly in a cluster is taken with all its lines, so that a short paragraph
-between long ones stays. What the markup itself declares to be no content (menus, forms, adverts, comments of readers
+between long ones stays. An ``article`` or ``main`` is taken so with the regions inside it, up to the next article, and
+decides nothing about what stands outside. What the markup itself declares to be no content (menus, forms, adverts, comments of readers
 and the like) is never selected, though its lines count in the smoothing.
 """
 
@@ -199,15 +200,18 @@ def main_text(html: str | None) -> str:
             chosen[line.region] += len(line.text) * bool(taken)
     regions = {region for region in inside if 2 * chosen[region] >= inside[region] and chosen[region]}
 
-    def article(region: int) -> bool:
-        while region >= 0:
-            if page.kinds[region] == "article":
-                return True
+    def article(region: int) -> int:
+        """The nearest article around, or -1."""
+        while region >= 0 and page.kinds[region] != "article":
             region = page.parents[region]
-        return False
-
-    if any(article(region) for region in regions):
-        regions = {region for region in inside if article(region)}
+        return region
+
+    # An article that is mostly in a cluster is filled: its short regions stay beside the long ones.
+    text, taken = defaultdict(int), defaultdict(int)
+    for region in inside:
+        text[article(region)] += inside[region]
+        taken[article(region)] += chosen[region]
+    regions |= {r for r in inside if article(r) >= 0 and 2 * taken[article(r)] >= text[article(r)] and taken[article(r)]}
     return " ".join(line.text for line in lines if not line.apart and line.region in regions)
 
 
