@@ -45,12 +45,18 @@ MARKS = set(
     " search share sharing sidebar signup skip social sponsor sponsored subscribe subscription teaser toolbar widget".split()
 )
 TALK = set("comment comments commentlist discussion disqus replies reply respond responses".split())
+#: Inside an article only these tell by themselves; other words may be its subject, and the ratio or the links decide.
+SURE = set(
+    "ad ads advert advertisement advertising adverts breadcrumb breadcrumbs complementary consent contentinfo cookie cookies"
+    " gdpr masthead navbar pager pagination promo promoted sponsored toolbar".split()
+) | {"comments", "commentlist", "disqus"}
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 #: Stands for an article's own heading where it is inside one.
 HEADING = {"header", "heading", "headline"}
 
 
-def _marks(attrs: list[tuple[str, str | None]]) -> set[str]:
-    text = " ".join(value for name, value in attrs if name in ("class", "id", "role") and value)
+def _marks(attrs: list[tuple[str, str | None]], names: tuple[str, ...] = ("class", "id", "role")) -> set[str]:
+    text = " ".join(value for name, value in attrs if name in names and value)
     return set(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", text).lower())) if text else set()
 
 
@@ -61,6 +67,7 @@ class Line:
     region: int
     apart: bool
     linked: int  # characters inside links
+    doubts: tuple[int, ...]  # the marked elements around it that the ratio or the links decide on
 
 
 @dataclass(slots=True)
@@ -68,6 +75,7 @@ class Open:
     tag: str
     region: int
     apart: str  # why the element is no content: "", "mark", "unseen" or "talk"
+    doubts: tuple[int, ...] = ()
 
 
 class Lines(HTMLParser):
@@ -80,13 +88,13 @@ class Lines(HTMLParser):
         self.kinds = [""]
         self.open = [Open("", 0, "")]
         self.pieces: list[str] = []
-        self.tags = self.linked = 0
+        self.tags = self.linked = self.doubted = 0
 
     def flush(self) -> None:
         text = " ".join("".join(self.pieces).split())
         if text:
             top = self.open[-1]
-            self.lines.append(Line(text, self.tags, top.region, bool(top.apart), self.linked))
+            self.lines.append(Line(text, self.tags, top.region, bool(top.apart), self.linked, top.doubts))
             self.tags = 0
         self.pieces, self.linked = [], 0
 
@@ -99,11 +107,13 @@ class Lines(HTMLParser):
         if tag in ("html", "body"):
             return ""
         marks = _marks(attrs)
+        if self.inside_article():
+            return self.why_apart_inside(tag, attrs)
         if marks & TALK:
             return "talk"
         if any(name == "hidden" or (name == "aria-hidden" and value == "true") for name, value in attrs):
             return "mark"
-        within = self.inside_article() or tag in ("article", "main")
+        within = tag in ("article", "main")
         if tag in APART or (tag == "header" and not within):
             return "mark"
         if tag in BLOCK or tag in ("span", "a", "b", "i", "em", "strong", "small", "ins"):
@@ -113,6 +123,26 @@ class Lines(HTMLParser):
                 return "mark"
         return ""
 
+    def why_apart_inside(self, tag: str, attrs: list[tuple[str, str | None]]) -> str:
+        """The same within an article; "doubt" where a mark may be the article's subject."""
+        if any(name == "hidden" or (name == "aria-hidden" and value == "true") for name, value in attrs):
+            return "mark"
+        if tag in APART:
+            return "mark"
+        if tag in HEADINGS or tag == "p":
+            return ""
+        said = _marks(attrs, ("class", "role"))
+        # Ids are often made from headings, but for those of a div.
+        sure = said | _marks(attrs, ("id",)) if tag == "div" else said
+        if sure & TALK & SURE:
+            return "talk"
+        if tag not in BLOCK and tag not in ("span", "a", "b", "i", "em", "strong", "small", "ins"):
+            return ""
+        if sure & SURE:
+            return "mark"
+        titled = said & HEADING and not said & MARKS - {"banner"}
+        return "doubt" if tag in BLOCK and said & (MARKS | TALK) and not titled else ""
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.tags += 1
         if tag in BLOCK:
@@ -134,7 +164,10 @@ class Lines(HTMLParser):
             region = len(self.parents)
             self.parents.append(top.region)
             self.kinds.append("article" if tag in ("article", "main") else tag)
-        self.open.append(Open(tag, region, top.apart or why))
+        doubts = top.doubts
+        if why == "doubt":
+            why, doubts, self.doubted = "", (*doubts, self.doubted), self.doubted + 1
+        self.open.append(Open(tag, region, top.apart or why, doubts))
 
     def close_open(self, tag: str, until: set[str] = frozenset()) -> None:
         for place in range(len(self.open) - 1, 0, -1):
@@ -186,11 +219,24 @@ def main_text(html: str | None) -> str:
         return ""
     ratios = np.array([len(line.text) / max(1, line.tags) for line in lines])
     even = smoothed(ratios)
+    # A marked element inside an article goes if it has little text for its tags, or mostly links.
+    size, tags, links = defaultdict(int), defaultdict(int), defaultdict(int)
+    for line in lines:
+        for doubt in line.doubts:
+            size[doubt] += len(line.text)
+            tags[doubt] += line.tags
+            links[doubt] += line.linked
+    bar = THRESHOLD * even.std()
+    none = {x for x in size if 2 * links[x] > size[x] or size[x] / max(1, tags[x]) < bar}
+    for line in lines:
+        line.apart = line.apart or not none.isdisjoint(line.doubts)
+    if all(line.apart for line in lines):
+        return ""
     # A line that is mostly links may stay beside text, but doesn't make a region content.
     free = np.array([not line.apart and 2 * line.linked <= len(line.text) for line in lines])
     if not free.any():
         free = np.array([not line.apart for line in lines])
-    cluster = (even >= THRESHOLD * even.std()) & free
+    cluster = (even >= bar) & free
     if not cluster.any():
         cluster = free & (even >= even[free].max())
     inside, chosen = defaultdict(int), defaultdict(int)
