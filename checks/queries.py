@@ -298,6 +298,26 @@ def land_csv_call_logs(spark, sf_dir):
     return spark.read.parquet(done.path).drop(landing.DAY)
 
 
+@query
+def land_csv_mixed_headers(spark, sf_dir):
+    """Calls through a day's folder of CSV files whose headers differ in order and spelling."""
+    calls = adapters.call_center_logs(spark, sf_dir).drop("load_time", AUDIT)
+    names = [
+        "Unnamed: 0", "call ID", "customeR iD", "COMPLAINT_catego ry", "agent ID", "call_start_time",
+        "call_end_time", "resolutionstatus", "callLogsGenerationDate",
+    ]
+    lake, target = scratch(spark, "lake"), scratch(spark, "landed")
+    odd = calls.toDF(*names)
+    part = F.pmod(F.xxhash64("call ID"), F.lit(3))
+    shapes = (names, names[::-1], [names[4], *names[:4], *names[5:]])
+    for number, order in enumerate(shapes):
+        some = odd.where(part == number).select(*(F.col(f"`{name}`") for name in order))
+        some = some.withColumnRenamed("call ID", "Call-id") if number == 1 else some
+        some.write.mode("append").csv(f"{lake}/call logs/call_logs_day_2025-11-20.csv", header=True, escape='"')
+    done = landing.land(spark, lake, target, "2025-11-20", CALL_LOGS, run_time=RUN_TIME)
+    return spark.read.parquet(done.path).drop(landing.DAY).select(*calls.columns, landing.LOAD_TIME)
+
+
 def _social_names(social: DataFrame) -> DataFrame:
     return social.drop("load_time", AUDIT).select(
         "complaint_id",
