@@ -7,7 +7,8 @@ fingerprint are posted with up to ``RADIUS // 4`` bits changed, those of a windo
 in at most ``RADIUS`` bits differ in that few bits in one block at least, so all such pairs meet. The pairs that meet
 within the radius are candidates; the shingles, weighted by how often they occur, decide.
 
-For similarity 0.8 a fingerprint differs in about 10 bits with a deviation of 3, for an exact copy in none.
+For similarity 0.8 a fingerprint differs in about 10 bits with a deviation of 3, for an exact copy in none. The radius
+is the largest that four changed bits a block cover.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ombuds.llm.common import small_or_shuffled, written
 
-WORDS, SIMILARITY, RADIUS, BLOCKS = 5, 0.8, 15, 4
+WORDS, SIMILARITY, RADIUS, BLOCKS = 5, 0.8, 19, 4
 #: Left out of words, so that quotes and full stops don't hide a copy.
 PUNCTUATION = ".,;:!?\"'()[]{}"
 LANES = 0x0000_0001_0000_0001
