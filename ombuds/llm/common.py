@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -124,7 +124,9 @@ class Cache(dict):
 BROADCAST_BYTES = 32 << 20
 
 
-def small_or_shuffled(df: DataFrame, label: str, row_bytes: int, most: int = BROADCAST_BYTES) -> DataFrame:
-    """``df``, written, and marked for broadcast if its counted rows of ``row_bytes`` come to ``most`` at most."""
+def small_or_shuffled(df: DataFrame, label: str, row_bytes: int | Column, most: int = BROADCAST_BYTES) -> DataFrame:
+    """``df``, written, and marked for broadcast if its rows of ``row_bytes`` come to ``most`` at most: a number where all
+    are of one size, else a column, which is summed."""
     kept, _ = written(df, label)
-    return F.broadcast(kept) if kept.count() * row_bytes <= most else kept
+    size = F.sum(row_bytes) if isinstance(row_bytes, Column) else F.count("*") * row_bytes
+    return F.broadcast(kept) if (kept.agg(size).first()[0] or 0) <= most else kept

@@ -23,6 +23,8 @@ from ombuds.llm.common import small_or_shuffled, written
 WORDS, SIMILARITY, RADIUS, BLOCKS = 5, 0.8, 19, 4
 #: Left out of words, so that quotes and full stops don't hide a copy.
 PUNCTUATION = ".,;:!?\"'()[]{}"
+#: Of a place in an array of structs: an offset and three fields.
+PLACE_BYTES = 40
 LANES = 0x0000_0001_0000_0001
 
 
@@ -117,7 +119,7 @@ def contaminated(
     # A document has as many places as words times widths of items at most.
     laid = reduce(DataFrame.union, found).distinct()
     laid = laid.groupBy("doc").agg(F.collect_list(F.struct("n", "width", "start")).alias("laid"))
-    laid = small_or_shuffled(laid, "places", 512)
+    laid = small_or_shuffled(laid, "places", 512 + PLACE_BYTES * F.size("laid").cast("long"))
     hit = plain.join(laid, "doc").select("doc", "words", F.explode("laid").alias("x")).select("doc", "words", "x.*")
     hit = hit.withColumn("words", F.slice("words", F.col("start") + 1, F.col("n")))
     windows = hit.select("doc", "start", "n", _shingles("words", F.least("width", F.size("words"))).alias("shingles"))
