@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ombuds.llm import bpe, context_tree, decontaminate, html_text, line_chunks, line_crf, neighbours, simhash_groups, token_counts, training_order
+from ombuds.llm import bpe, context_tree, conversation_repair, decontaminate, html_text, line_chunks, line_crf, neighbours, simhash_groups, token_counts, training_order
 from ombuds.llm.common import table
 from ombuds.session import scratch
 
@@ -106,6 +106,41 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """``turns`` with a fault in some rows, by a hash of their conversation and turn: dropped, emptied, without ends of
+    sentences, repeated, or of another role."""
+    space = F.lit(" ")
+    conv, turn, role, text = (F.coalesce(F.col(name).cast("string"), space) for name in ("conv_id", "turn", "role", "text"))
+    fault = F.crc32(F.concat(conv, F.lit(":"), turn)) % 20
+    some = turns.select("conv_id", "turn", role.alias("role"), text.alias("text"), fault.alias("fault")).where("fault != 0")
+    return some.select(
+        "conv_id",
+        "turn",
+        F.when(F.col("fault") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("fault") == 1, "")
+        .when(F.col("fault") == 2, F.regexp_replace("text", "[.!?]", ""))
+        .otherwise(F.col("text"))
+        .alias("text"),
+        F.explode(F.array_repeat(F.lit(1), F.when(F.col("fault") == 3, 2).otherwise(1))).alias("copy"),
+    ).drop("copy")
+
+
+def op12_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    repaired = conversation_repair.repair(damaged(turns))
+    every = turns.select("conv_id").distinct().select(F.col("conv_id").alias("every"))
+    same = F.col("every").eqNullSafe(F.col("conv_id"))
+    found = every.join(repaired.conversations, same, "left").drop("conv_id")
+    found = found.join(conversation_repair.digests(repaired.pieces), same, "left")
+    none, counts = F.lit(0).cast("long"), ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return found.select(
+        F.col("every").alias("conv_id"),
+        *(F.coalesce(name, none).alias(name) for name in counts),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_crf": op1_line_crf,
     "op2_context_tree": op2_context_tree,
@@ -118,6 +153,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_whole_passages": op8_whole_passages,
     "op9_simhash_groups": op9_simhash_groups,
     "op10_bpe": op10_bpe,
+    "op12_role_repair": op12_role_repair,
 }
 
 ORACLE: dict[str, str] = {"op4_decontaminate": decontaminate.ORACLE, "op8_line_chunks": line_chunks.ORACLE}
