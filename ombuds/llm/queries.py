@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ombuds.llm import bpe, context_tree, conversation_repair, decontaminate, html_text, line_chunks, line_crf, neighbours, simhash_groups, token_counts, training_order
+from ombuds.llm import bpe, context_tree, conversation_repair, decontaminate, html_text, line_chunks, line_crf, neighbours, simhash_groups, token_counts, training_order, whitening
 from ombuds.llm.common import table
 from ombuds.session import scratch
 
@@ -141,6 +141,10 @@ def op12_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_crf": op1_line_crf,
     "op2_context_tree": op2_context_tree,
@@ -154,6 +158,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash_groups": op9_simhash_groups,
     "op10_bpe": op10_bpe,
     "op12_role_repair": op12_role_repair,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLE: dict[str, str] = {"op4_decontaminate": decontaminate.ORACLE, "op8_line_chunks": line_chunks.ORACLE}

@@ -1,0 +1,89 @@
+"""Whitening against numpy on all rows."""
+
+import math
+
+import numpy as np
+import pytest
+
+from ombuds.llm import queries, whitening
+
+SCHEMA = "vec_id long, embedding array<float>, id string, x array<long>, z int, k date, n string, part int"
+SF_DIR = "/root/testdata/sf0.01"
+
+
+def df_of(spark, rows):
+    return spark.createDataFrame([(*row, *(None,) * 6) for row in rows], SCHEMA)
+
+
+def whole(vector):
+    return [math.floor(1024 * float(np.float32(c))) + 100_000 for c in vector]
+
+
+def check(out, rows, components=8):
+    """``out`` against exact sums and numpy's covariance; rows are (id, vector) of those that take part."""
+    x = np.array([whole(vector) for _, vector in rows])
+    n, totals = len(x), [sum(map(int, column)) for column in x.T]
+    values = np.linalg.eigvalsh(np.cov(x.T.astype(float), bias=True))[::-1]
+    rank = min(components, x.shape[1], n - 1)
+    assert sorted({row.component for row in out}) == list(range(1, rank + 1))
+    assert len(out) == n * rank
+    exact = sorted((vec_id is not None, vec_id or 0, sum((n * int(c) - s) ** 2 for c, s in zip(v, totals))) for (vec_id, _), v in zip(rows, x))
+    first = [row for row in out if row.component == 1]
+    assert sorted((row.vec_id is not None, row.vec_id or 0, row.deviation) for row in first) == exact
+    for row in out[:50]:
+        assert row.n == n
+        assert row.explained == pytest.approx(values[row.component - 1] / values.sum(), rel=1e-6)
+    assert len({row.identity_error for row in out}) == 1 and out[0].identity_error <= 1e-4
+    z = {}
+    for row in out:
+        z.setdefault(row.vec_id, []).append((row.component, row.whitened))
+    return x, z
+
+
+def test_given_vectors(spark):
+    out = queries.op13_whitening(spark, SF_DIR)
+    assert out.columns == ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"]
+    given = [(row.vec_id, row.embedding) for row in spark.read.parquet(f"{SF_DIR}/embeddings.parquet").collect()]
+    x, z = check(out.collect(), given)
+    centred = x - x.mean(axis=0)
+    values, axes = np.linalg.eigh(centred.T @ centred / len(x))
+    for at in range(8):
+        wanted = centred @ axes[:, -1 - at] / np.sqrt(values[-1 - at])
+        got = np.array([dict(z[vec_id])[at + 1] for vec_id, _ in given])
+        assert min(abs(got - wanted).max(), abs(got + wanted).max()) < 1e-6
+
+
+def test_many_blocks_are_the_same(spark, monkeypatch):
+    """Blocks of 7 rows, which neither fill the grid nor the last block of a task."""
+    monkeypatch.setattr(whitening, "BLOCK_ENTRIES", 7 * 5)
+    rng = np.random.default_rng(2)
+    rows = [(n, [float(v) for v in vector]) for n, vector in enumerate(rng.normal(size=(300, 5)) * [3, 1, 0.5, 0.2, 9])]
+    check(whitening.whiten(df_of(spark, rows).repartition(5)).collect(), rows)
+
+
+def test_odd_rows(spark):
+    rng = np.random.default_rng(1)
+    good = [(n, [float(np.float32(v)) for v in rng.normal(size=3)]) for n in range(40)]
+    good += [(5, good[5][1]), (None, good[6][1]), (77, [3e38, -3e38, 0.0])][:2]
+    odd = [(80, None), (81, [1.0, None, 2.0]), (82, [float("nan"), 0.0, 0.0]), (83, [float("inf"), 0.0, 0.0]), (84, []), (85, [1.0])]
+    check(whitening.whiten(df_of(spark, good + odd)).collect(), good)
+
+
+def test_huge_entries_fail_nothing(spark):
+    rows = [(n, [float(n % 3), 3e38 if n % 2 else -3e38]) for n in range(30)]
+    out = whitening.whiten(df_of(spark, rows)).collect()
+    assert len(out) == 30 * 1 or len(out) == 30 * 2
+    assert out[0].deviation is None and out[0].identity_error < 1e-4
+
+
+def test_nothing_varies(spark):
+    assert whitening.whiten(df_of(spark, [])).collect() == []
+    assert whitening.whiten(df_of(spark, [(1, None)])).collect() == []
+    assert whitening.whiten(df_of(spark, [(1, [1.0, 2.0])])).collect() == []
+    assert whitening.whiten(df_of(spark, [(n, [1.0, 2.0]) for n in range(9)])).collect() == []
+
+
+def test_line_has_one_component(spark):
+    rows = [(n, [float(n), 2.0 * n, 0.0]) for n in range(9)]
+    out = whitening.whiten(df_of(spark, rows)).collect()
+    assert {row.component for row in out} == {1} and out[0].explained == pytest.approx(1)
