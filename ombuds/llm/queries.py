@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ombuds.llm import bpe, context_tree, conversation_repair, decontaminate, html_text, line_chunks, line_crf, neighbours, simhash_groups, token_counts, training_order, whitening
+from ombuds.llm import bpe, context_tree, conversation_repair, decontaminate, html_text, line_chunks, line_crf, neighbours, personal_data, simhash_groups, token_counts, training_order, whitening
 from ombuds.llm.common import table
 from ombuds.session import scratch
 
@@ -106,6 +106,23 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def told(spans: str) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *(number(kind) for kind in personal_data.KINDS),
+        F.sha2(told("base"), 256).alias("base_sha256"),
+        told("spans").alias("spans"),
+    )
+
+
 def damaged(turns: DataFrame) -> DataFrame:
     """``turns`` with a fault in some rows, by a hash of their conversation and turn: dropped, emptied, without ends of
     sentences, repeated, or of another role."""
@@ -157,6 +174,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_whole_passages": op8_whole_passages,
     "op9_simhash_groups": op9_simhash_groups,
     "op10_bpe": op10_bpe,
+    "op11_personal_data": op11_personal_data,
     "op12_role_repair": op12_role_repair,
     "op13_whitening": op13_whitening,
 }

@@ -1,0 +1,159 @@
+"""Personal data: the base against plain regular expressions, learning against row-by-row versions, planted variants."""
+
+import hashlib
+import math
+import re
+
+import pytest
+from odd_docs import LONG, no_docs, odd_docs
+
+from ombuds.llm import personal_data as pd_
+from ombuds.llm import queries
+
+SF_DIR = "/root/testdata/sf0.01"
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    doubled = [int(d) * (1 + at % 2) for at, d in enumerate(reversed(digits))]
+    return sum(d - 9 if d > 9 else d for d in doubled) % 10 == 0
+
+
+def base(text):
+    found = []
+    for kind, pattern in PATTERNS.items():
+        for match in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", match.group())
+            fits = {
+                "email": True,
+                "ip": kind == "ip" and all(int(part) <= 255 for part in match.group().split(".")),
+                "card": 16 <= len(digits) <= 19 and luhn(digits),
+                "phone": 8 <= len(digits) <= 15,
+            }[kind]
+            if fits:
+                found.append((kind, match.start(), match.end()))
+    return found
+
+
+HARD = [
+    "a@b.c@d.e f@g.hi_x@y.zz",
+    "one@two.three.four.five.. six@seven.",
+    "%+-._@a-b.c-d é@x.yz üjo@host.de 🙂me@host.org🙂",
+    "1.2.3.4.5.6.7.8 256.1.1.1 001.02.3.00004 1.2.3 999.1.2.3.4 1.1.1.256",
+    "4111111111111111 4111 1111 1111 1111 4111-1111-1111-1111-22 4111  1111 41111111111111111111",
+    "+1 (411) 555-1507 +123 +1((((2 +1 2 3 4 5 6 7 8 +12345678901234567 +4 4.4.4.4.4.4.4 ++1-22-33-44",
+    "token 4539578763621486x 0000000000000000 12345678 9012 3456 7890",
+    "1" * 5000 + " " + "1-" * 3000 + "." + "9." * 3000 + "a." * 4000 + "@" + "b." * 4000 + "c " + "x" * 50_000,
+    "@@@ ... +++ --- \n\n a@b\n.c 1.2.\n3.4",
+    "a@b.cc 1.2.3.4 " * 3000,
+]
+
+
+def rows_of(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+
+def test_base_is_that_of_plain_expressions(spark):
+    found = pd_.find(rows_of(spark, HARD)).collect()
+    for row in found:
+        assert [(s.kind, s.start, s.end) for s in row.base] == base(HARD[row.id]), HARD[row.id][:40]
+        assert all(s.value == HARD[row.id][s.start : s.end] for s in row.spans)
+
+
+def test_query_on_given_documents(spark):
+    out = queries.op11_personal_data(spark, SF_DIR)
+    assert out.columns == ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"]
+    texts = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()
+    wanted, got = {row.doc_id: base(row.text) for row in texts}, out.collect()
+    assert len(got) == len(texts) and sum(map(len, wanted.values())) > 50
+    for row in got:
+        spans = wanted[row.doc_id]
+        told = [f"{kind}:{start}:{end}" for kind, start, end in spans]
+        assert (row.n_email, row.n_ip, row.n_card, row.n_phone) == tuple(sum(s[0] == k for s in spans) for k in PATTERNS)
+        assert row.base_sha256 == hashlib.sha256(",".join(told).encode()).hexdigest()
+        assert set(told) <= set(row.spans.split(",")) or not told
+        if not told:
+            assert row.spans == ""  # clean documents, with decoys, stay clean
+
+
+def corpus():
+    """Exact mentions, from which reliabilities are learnt, then variants and decoys."""
+    texts = []
+    for n in range(150):
+        card = next(c for c in (f"4{n:014d}{d}" for d in range(10)) if luhn(c))
+        texts.append(f"write to jo.{n}@mail{n % 7}.com or call +1 (411) 555-{1000 + n} now. host 10.0.{n}.9 saw card {card} twice.")
+        wrong = f"4{n:014d}{(int(card[-1]) + 5) % 10}"
+        texts.append(f"the number {wrong} and 300.1.{n}.4 and version 1.{n}.3 and token =\"{card}ab{n}\" are none.")
+    variants = {
+        "ask jane (at) mail7 (dot) com about it": [("email", 4, 29)],
+        "call (411) 555-1507 today": [("phone", 5, 19)],
+        "his card 3782 822463 10005 was used": [("card", 9, 26)],
+    }
+    decoys = ["chapter 1.2.3 of 7", "in 1999 2000 and 2001", "look at the house", "order 1234567890123", "300.300.300.300", ""]
+    return texts, variants, decoys
+
+
+def test_variants_are_added_and_decoys_not(spark):
+    texts, variants, decoys = corpus()
+    every = [*texts, *variants, *decoys]
+    found = {every[row.id]: row for row in pd_.find(rows_of(spark, every)).collect()}
+    for text, wanted in variants.items():
+        assert [(s.kind, s.start, s.end) for s in found[text].spans] == wanted
+        assert found[text].base == [] and all(0.5 <= s.score < 1 for s in found[text].spans)
+    for text in decoys:
+        assert found[text].spans == []
+    for text in texts[::2]:
+        assert [s.kind for s in found[text].spans] == ["email", "ip", "card", "phone"]
+    for text in texts[1::2]:
+        assert found[text].spans == found[text].base
+
+
+def test_estimation_is_that_over_single_candidates():
+    """Equal votes counted together give what each candidate alone does."""
+    together = [("++0", True, 30), ("--0", False, 20), ("+-0", None, 7), ("0-+", None, 5), ("+++", None, 9), ("000", None, 2)]
+    alone = [(votes, known, 1) for votes, known, count in together for _ in range(count)]
+    each = dict(zip((row[:2] for row in alone), pd_.estimate(alone)))
+    for row, share in zip(together, pd_.estimate(together)):
+        assert each[row[:2]] == pytest.approx(share)
+    shares = dict(zip((votes for votes, *_ in together), pd_.estimate(together)))
+    assert shares["++0"] == 1 and shares["--0"] == 0 and shares["+++"] > 0.95
+
+
+def test_classifier_is_at_its_optimum():
+    rows = [(("a", "b"), 0.9, 12), (("a",), 0.2, 8), (("b", "c"), 0.7, 5), (("c",), 0.1, 20)]
+    weights = pd_.train(rows)
+
+    def loss(w):
+        total = sum(value * value for value in w.values()) / 2
+        for names, share, count in rows:
+            z = w[""] + sum(w[name] for name in names)
+            total += count * (share * math.log1p(math.exp(-z)) + (1 - share) * math.log1p(math.exp(z)))
+        return total
+
+    best = loss(weights)
+    for name in weights:
+        for step in (-1e-3, 1e-3):
+            assert loss(weights | {name: weights[name] + step}) > best
+    assert pd_.train([]) == {} and pd_.estimate([]) == []
+
+
+def test_odd_and_no_documents(spark):
+    docs = odd_docs(spark, [(20, LONG + " a@b.cc"), (20, LONG + " a@b.cc"), (21, "email base spans loose card")])
+    found = pd_.find(docs).collect()
+    assert len(found) == docs.count()
+    assert [(s.kind, s.start, s.end) for s in next(r for r in found if r.id == 20).base] == base(LONG + " a@b.cc")
+    assert all(row.base == row.spans == [] for row in found if row.id not in (20,))
+    assert pd_.find(no_docs(spark)).collect() == []
+
+
+def test_no_python_on_the_path(spark):
+    from tests.conftest import plan
+
+    docs = rows_of(spark, HARD)
+    for frame in (pd_.candidates(docs), pd_.find(docs)):
+        assert not re.search("Python|Arrow|Pandas|ExistingRDD.*lambda", plan(frame))
