@@ -39,7 +39,7 @@ UNITS, SHIFT = 1024, 100_000
 MOST = float(1 << 40)
 COMPONENTS = 8
 #: Entries of a block; block rows and block columns that the scatter is summed in.
-BLOCK_ENTRIES, GRID = 1 << 18, 8
+BLOCK_ENTRIES, GRID = 1 << 15, 8
 #: Eigenvalues below this part of the largest are rounding errors.
 ROUNDING = 1e-11
 
