@@ -532,18 +532,35 @@ def load_after_bad_file(spark, sf_dir):
     house = pipeline.Warehouse(spark, scratch(spark, "landed"), scratch(spark, "house"), BUCKETS)
     _write_landed_web(_before(web, SPLIT), house.landed, "2025-11-20")
     day = f"{house.landed}/raw/postgres/dt=2025-11-21"
-    spark.range(1).select(F.lit("damaged").alias("value")).write.option("compression", "none").text(day)
-    damaged = spark.read.text(day).inputFiles()[0]
-    move_path(spark, damaged, f"{day}/part-0.parquet")
+    _write_landed_web(web.where("false"), house.landed, "2025-11-19")
+    damaged = spark.range(1).select(F.lit("damaged").alias("value")).coalesce(1)
+    damaged.write.option("compression", "none").text(day)
+    move_path(spark, spark.read.text(day).inputFiles()[0], f"{day}/part-0.parquet")
     first = pipeline.load_daily(house, WEB_COMPLAINTS, RUN_TIME)
-    if len(first.rejected) != 1:
-        raise AssertionError(f"one damaged file, but {first.rejected} were left out")
+    if [path.rsplit("/", 1)[1] for path in first.rejected] != ["part-0.parquet"]:
+        raise AssertionError(f"one damaged file beside files without rows, but {first.rejected} were left out")
     remove_path(spark, day)
     _write_landed_web(_since(web, SPLIT), house.landed, "2025-11-21")
     pipeline.load_daily(house, WEB_COMPLAINTS, SECOND_RUN)
     return house.raw("web_complaints").read()
 
 
+@query
+def load_static_bad_file(spark, sf_dir):
+    """The RAW customers after a refresh that a damaged file stopped: those of the load before."""
+    house = pipeline.Warehouse(spark, scratch(spark, "landed"), scratch(spark, "house"), BUCKETS)
+    customers, folder = adapters.customers(spark, sf_dir).drop(AUDIT), house.folder("customers")
+    customers.write.parquet(f"{folder}/part=1")
+    pipeline.load_static(house, CUSTOMERS, RUN_TIME)
+    damaged = spark.range(1).select(F.lit("damaged").alias("value")).coalesce(1)
+    damaged.write.option("compression", "none").text(f"{folder}/part=2")
+    move_path(spark, spark.read.text(f"{folder}/part=2").inputFiles()[0], f"{folder}/part=2/bad.parquet")
+    second = pipeline.load_static(house, CUSTOMERS, SECOND_RUN)
+    if (second.loaded, len(second.rejected)) != (0, 1):
+        raise AssertionError(f"the damaged file should have stopped the refresh, but {second}")
+    return house.raw("customers").read()
+
+
 @query
 def stream_daily_load(spark, sf_dir):
     """The same two loads through a file stream."""
@@ -576,6 +593,12 @@ def pipeline_end_to_end(spark, sf_dir):
     return groups.agg(F.count(F.lit(1)).alias("complaints"), F.max("started_at").alias("last_started"))
 
 
+def _all_agents(spark: SparkSession, sf_dir: str, agents: DataFrame) -> DataFrame:
+    """``agents``, and those that calls name besides: small tables have fewer suppliers than calls have agents."""
+    named = adapters.call_center_logs(spark, sf_dir).select(F.col("agent_id").alias("id")).distinct()
+    return agents.unionByName(named.join(agents, "id", "left_anti"), allowMissingColumns=True)
+
+
 def _write_sources(spark: SparkSession, sf_dir: str, lake: str, day: str) -> None:
     quoted = {"header": True, "escape": '"'}
     for name, path in (
@@ -584,6 +607,7 @@ def _write_sources(spark: SparkSession, sf_dir: str, lake: str, day: str) -> Non
         ("call_center_logs", f"call logs/call_logs_day_{day}.csv"),
     ):
         rows = adapters.RAW[name](spark, sf_dir).drop("load_time", AUDIT)
+        rows = _all_agents(spark, sf_dir, rows) if name == "agents" else rows
         rows.write.csv(f"{lake}/{path}", **quoted)
 
     def as_lists(names):

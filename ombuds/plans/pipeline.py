@@ -14,10 +14,11 @@ from ombuds.operators.tables import VersionedTable
 from ombuds.plans import marts
 from ombuds.plans.staging import STAGING
 from ombuds.schemas import AUDIT, RAW_TABLES, UNIFIED, RawTable
+from ombuds.session import scratch
 from ombuds.sources.landing import utc_now
 from ombuds.sources.ledger import Ledger
 from ombuds.sources.paths import RAW_FOLDERS
-from ombuds.sources.stage import list_files, read_checked, read_staged
+from ombuds.sources.stage import empty_files, list_files, stage_files
 
 # The pipeline merges calls on their own id: the row number of a daily file restarts every day.
 MERGE_KEYS = {"call_center_logs": "call_id"}
@@ -67,46 +68,59 @@ class Warehouse:
         return {view: build(self.raw(name).read()) for name, (view, build) in STAGING.items()}
 
 
-def load_static(warehouse: Warehouse, table: RawTable, run_time: dt.datetime | None = None) -> int:
-    """Load all files of a static source and swap the table; an empty load keeps the old one."""
-    found = list_files(warehouse.spark, warehouse.folder(table.name)).select("path").collect()
-    rows = read_staged(warehouse.spark, table, [file.path for file in found])
-    stamped = fill_audit(rows, run_time or utc_now())
-    return warehouse.raw(table.name).replace(stamped, check=require_rows)
-
-
 @dataclass(frozen=True)
 class Load:
-    """Outcome of a daily load: number of files loaded, and paths of files that could not be read."""
+    """Outcome of a load: number of files loaded, and paths of files that could not be read to their end."""
 
     loaded: int = 0
     rejected: tuple[str, ...] = ()
 
 
+def load_static(
+    warehouse: Warehouse, table: RawTable, run_time: dt.datetime | None = None, partial: bool = False
+) -> Load:
+    """Load all files of a static source and swap the table; an empty load keeps the old one.
+
+    If a file can't be read to its end, its rows would be missing from the new table. So nothing is loaded then, and
+    readers keep the old table, unless ``partial`` asks for what can be read.
+    """
+    spark, folder = warehouse.spark, warehouse.folder(table.name)
+    paths = [file.path for file in list_files(spark, folder).select("path").collect()]
+    staged = stage_files(spark, table, paths)
+    rejected = (*staged.rejected, *empty_files(spark, folder))
+    if rejected and not partial:
+        return Load(0, rejected)
+    stamped = fill_audit(staged.rows, run_time or utc_now())
+    warehouse.raw(table.name).replace(stamped, check=require_rows)
+    return Load(len(paths) - len(staged.rejected), rejected)
+
+
 def load_daily(warehouse: Warehouse, table: RawTable, run_time: dt.datetime | None = None) -> Load:
     """Load files not loaded before and merge them.
 
     A file that cannot be read to its end is skipped, reported, and not recorded: it stays new, so it is loaded once
-    it is put right, or once a passing fault of the storage is over.
+    it is put right, or once a passing fault of the storage is over. A file without rows is loaded like any other.
 
     The ledger is written last: a run lost in between loads the same files again, and merging the same rows
     twice changes nothing.
     """
     run_time = run_time or utc_now()
-    ledger = warehouse.ledger(table.name)
-    files = ledger.new_files(warehouse.folder(table.name)).collect()
-    if not files:
-        return Load()
-    rows, taken = read_checked(warehouse.spark, table, [file.path for file in files])
-    accepted = [file for file in files if file.path in set(taken)]
-    rejected = tuple(file.path for file in files if file.path not in set(taken))
-    if not accepted:
-        return Load(0, rejected)
-    target = warehouse.raw(table.name)
-    update = table.update if target.key == table.merge_key else _without_key(table, target.key)
-    target.merge(fill_audit(rows, run_time, only_missing=True), update)
-    ledger.record(accepted, run_time)
-    return Load(len(accepted), rejected)
+    spark, ledger, folder = warehouse.spark, warehouse.ledger(table.name), warehouse.folder(table.name)
+    listing = scratch(spark, "listing")
+    ledger.new_files(folder).write.parquet(listing)
+    files = spark.read.schema(ledger.listing_schema).parquet(listing)
+    paths = [file.path for file in files.select("path").collect()]
+    empty = tuple(empty_files(spark, folder))
+    if not paths:
+        return Load(0, empty)
+    staged = stage_files(spark, table, paths)
+    if len(staged.rejected) < len(paths):
+        target = warehouse.raw(table.name)
+        update = table.update if target.key == table.merge_key else _without_key(table, target.key)
+        target.merge(fill_audit(staged.rows, run_time, only_missing=True), update)
+        left_out = spark.createDataFrame([(path,) for path in staged.rejected], "path string")
+        ledger.record(files.join(left_out, "path", "left_anti"), run_time)
+    return Load(len(paths) - len(staged.rejected), (*staged.rejected, *empty))
 
 
 def _without_key(table: RawTable, key: str) -> tuple[str, ...] | None:

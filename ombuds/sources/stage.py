@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import reduce
 from urllib.parse import unquote
 
@@ -18,6 +20,9 @@ from ombuds.session import conf, shared_dir
 SOURCE_FILE = "source_file"
 _FOOTER_THREADS = 16
 _SKIP_BAD = {"ignoreCorruptFiles": "true"}
+_PLAIN = "plain"
+#: Names of damaged files that are broadcast at most.
+_FEW = 10_000
 
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -26,6 +31,13 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
     return files.load(folder).select("path", "length", F.col("modificationTime").alias("modified"))
 
 
+def empty_files(spark: SparkSession, folder: str) -> list[str]:
+    """Parquet files of 0 bytes below a folder: broken off before anything was written, and hidden from every scan."""
+    files = spark.read.format("binaryFile").options(recursiveFileLookup="true", pathGlobFilter="*.parquet").load(folder)
+    listed = {_plain(unquote(name)) for name in files.inputFiles()}  # the listing has them, the scan hasn't
+    return sorted(listed - {_plain(row.path) for row in files.select("path").collect()}) if listed else []
+
+
 # Files of one schema
 
 
@@ -74,28 +86,14 @@ def _spelled_twice(schema: T.StructType) -> bool:
     return len({name.lower() for name in schema.fieldNames()}) < len(schema.fieldNames())
 
 
-# Corrupt files
+def _file() -> Column:
+    return F.col("_metadata.file_path").alias(SOURCE_FILE)
 
 
-def intact_files(spark: SparkSession, files: list[str], schema: T.StructType) -> list[str]:
-    """Files that decode to the end.
-
-    Skipping corrupt files while reading would keep the rows decoded before the fault. So every value is
-    decoded once, and a file counts as intact when it yields as many rows as its footer promises.
-    """
-    values = [F.col(f"`{name}`") for name in schema.fieldNames()] or [F.lit(0)]
-    path = F.col("_metadata.file_path").alias("path")
-    scan = spark.read.schema(schema).options(**_SKIP_BAD).parquet(*files)
-    promised = scan.select(path).groupBy("path").agg(F.count(F.lit(1)).alias("promised"))
-    decoded = (
-        scan.select(path, F.xxhash64(*values).alias("row_hash"))
-        .groupBy("path")
-        .agg(F.count(F.lit(1)).alias("decoded"), F.bit_xor("row_hash").alias("all_values"))
-        .where(F.col("all_values").isNotNull())
-    )
-    rows = promised.join(decoded, "path").where("decoded = promised").select("path").collect()
-    intact = {_plain(unquote(row.path)) for row in rows}  # the metadata column holds an encoded URI
-    return [path for path in files if _plain(path) in intact]
+def _plain_file() -> Column:
+    """``_plain`` of the file a row came from, which is an encoded URI."""
+    decoded = F.url_decode(F.replace(F.col(SOURCE_FILE), F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, "^file:/*", "/").alias(_PLAIN)
 
 
 def _plain(path: str) -> str:
@@ -106,54 +104,94 @@ def _plain(path: str) -> str:
 # Rows of the table
 
 
-def read_staged(
-    spark: SparkSession,
-    table: RawTable,
-    files: list[str],
-    check_files: bool = True,
-    lineage: bool = False,
-) -> DataFrame:
-    """``read_checked`` without the list of files."""
-    return read_checked(spark, table, files, check_files, lineage)[0]
+@dataclass(frozen=True)
+class Staged:
+    """Rows of files that were read to their end, with the file each came from, and the paths of the other files."""
 
+    rows: DataFrame
+    rejected: tuple[str, ...] = ()
 
-def read_checked(
+
+def stage_files(spark: SparkSession, table: RawTable, files: list[str]) -> Staged:
+    """Decode ``files`` once, into a staged table in the shared folder, and leave out those that are damaged.
+
+    Skipping corrupt files while reading would keep the rows decoded before the fault. So each staged row has its file,
+    and a file counts as read when it gave as many rows as its footer promises; the rows of the others go by an anti
+    join. A file without rows promises none, so it is read. Nothing but the names of rejected files reaches the driver.
+    """
+    path = f"{shared_dir(spark)}/staged-{uuid.uuid4().hex}"
+    promised = []
+    for schema, paths in group_by_schema(spark, files):
+        with _spelling(spark, table, schema):
+            found = spark.read.schema(_needed(table, schema)).options(**_SKIP_BAD).parquet(*paths)
+            _rows(found, table, schema, [_file()]).write.mode("append").option("compression", "zstd").parquet(path)
+        # No column is read, so these are the footers' counts.
+        footers = spark.read.schema(T.StructType(schema.fields[:1])).options(**_SKIP_BAD).parquet(*paths).select(_file())
+        promised.append(footers.groupBy(SOURCE_FILE).agg(F.count(F.lit(1)).alias("promised")))
+    columns = T.StructType([T.StructField(name, T.StringType()) for name in (*table.business, SOURCE_FILE)])
+    if not promised:
+        return Staged(spark.createDataFrame([], columns), tuple(sorted(files)))
+    staged = spark.read.schema(columns).parquet(path)
+    decoded = staged.groupBy(SOURCE_FILE).agg(F.count(F.lit(1)).alias("decoded"))
+    counts = reduce(DataFrame.unionByName, promised).join(decoded, SOURCE_FILE, "left")
+    whole = (F.col("promised") == F.coalesce("decoded", F.lit(0))).alias("whole")
+    given = spark.createDataFrame([(file, _plain(file)) for file in files], f"path string, {_PLAIN} string")
+    seen = given.join(counts.select(_plain_file(), SOURCE_FILE, whole), _PLAIN, "left")
+    doubtful = seen.where("whole is null or not whole").collect()
+    # A file without a row in either count has none, or its footer can't be read; only such files are looked at singly.
+    rowless = [row.path for row in doubtful if row.whole is None]
+    with ThreadPoolExecutor(_FOOTER_THREADS) as pool:
+        schemas = pool.map(lambda file: _file_schema(spark, file), rowless)
+        read = {file for file, schema in zip(rowless, schemas) if schema is not None}
+    broken = [(row[SOURCE_FILE],) for row in doubtful if row.whole is not None]
+    if broken:
+        names = spark.createDataFrame(broken, f"{SOURCE_FILE} string")
+        staged = staged.join(F.broadcast(names) if len(broken) <= _FEW else names, SOURCE_FILE, "left_anti")
+    rejected = sorted(row.path for row in doubtful if row.path not in read)
+    return Staged(staged.select(*columns.names), tuple(rejected))
+
+
+def read_staged(
     spark: SparkSession,
     table: RawTable,
     files: list[str],
     check_files: bool = True,
     lineage: bool = False,
-) -> tuple[DataFrame, list[str]]:
-    """Rows of ``files`` with the business columns of ``table``, all text, and the files they come from; those left
-    out could not be read to their end.
+) -> DataFrame:
+    """Rows of ``files`` with the business columns of ``table``, all text; damaged files are left out.
 
     Without declared spellings a column is matched by name ignoring case. With them, a column takes the
     first non-NULL of its spellings and all other columns must be spelled as declared. Columns a file lacks
     are NULL and columns the table lacks are ignored. ``lineage`` adds the file a row came from.
+
+    Without ``check_files`` the files are scanned where the result is, unless one of them has two spellings of a column,
+    which can be told apart only while names are case-sensitive.
     """
-    extra = [F.col("_metadata.file_path").alias(SOURCE_FILE)] if lineage else []
-    parts, taken = [], []
-    for schema, paths in group_by_schema(spark, files):
-        picked = _picked(table, schema)
-        wanted = {name for names in picked.values() for name in names}
-        needed = T.StructType([field for field in schema.fields if field.name in wanted])
-        twice = _spelled_twice(needed)
-        with conf(spark, spark__sql__caseSensitive=str(twice).lower()):
-            good = intact_files(spark, paths, needed) if check_files else paths
-            if not good:
-                continue
-            rows = spark.read.schema(needed).parquet(*good)
-            rows = rows.select(*(_first_filled(names).alias(name) for name, names in picked.items()), *extra)
-            if twice:
-                # Two spellings in one file are only readable case-sensitively, so read them here and now.
-                shared_dir(spark)
-                rows = rows.checkpoint()
-        parts.append(rows)
-        taken += good
-    if not parts:
-        columns = [*table.business, SOURCE_FILE] if lineage else table.business
-        return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in columns])), []
-    return reduce(DataFrame.unionByName, parts), taken
+    columns = [*table.business, SOURCE_FILE] if lineage else table.business
+    if not check_files:
+        groups = group_by_schema(spark, files)
+        if groups and not any(_spelled_twice(_needed(table, schema)) for schema, _ in groups):
+            parts = [
+                _rows(spark.read.schema(_needed(table, schema)).parquet(*paths), table, schema, [_file()] if lineage else [])
+                for schema, paths in groups
+            ]
+            return reduce(DataFrame.unionByName, parts)
+    return stage_files(spark, table, files).rows.select(*columns)
+
+
+def _needed(table: RawTable, schema: T.StructType) -> T.StructType:
+    wanted = {name for names in _picked(table, schema).values() for name in names}
+    return T.StructType([field for field in schema.fields if field.name in wanted])
+
+
+def _spelling(spark: SparkSession, table: RawTable, schema: T.StructType):
+    """Names are case-sensitive while files with two spellings of a column are read."""
+    return conf(spark, spark__sql__caseSensitive=str(_spelled_twice(_needed(table, schema))).lower())
+
+
+def _rows(found: DataFrame, table: RawTable, schema: T.StructType, more: list[Column]) -> DataFrame:
+    picked = _picked(table, schema)
+    return found.select(*(_first_filled(names).alias(name) for name, names in picked.items()), *more)
 
 
 def _picked(table: RawTable, schema: T.StructType) -> dict[str, list[str]]:

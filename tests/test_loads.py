@@ -213,3 +213,36 @@ def test_skipped_files_are_reported_and_stay_new(spark, tmp_path):
     bad.unlink()
     land_web(spark, wh.landed, "2025-11-22", ("2", "b", "Backlog"))
     assert pipeline.load_daily(wh, WEB_COMPLAINTS, RUN[2]) == pipeline.Load(1)
+
+
+def test_files_without_rows_are_loaded_and_those_without_bytes_reported(spark, tmp_path):
+    wh = house(spark, tmp_path)
+    land_web(spark, wh.landed, "2025-11-20", ("1", "a", "Backlog"))
+    land_web(spark, wh.landed, "2025-11-21")
+    none = tmp_path / "landed" / "raw" / "postgres" / "dt=2025-11-21" / "none.parquet"
+    none.write_bytes(b"")
+    for run, loaded in ((RUN[0], 2), (RUN[1], 0)):
+        done = pipeline.load_daily(wh, WEB_COMPLAINTS, run)
+        assert done.loaded == loaded and done.rejected == (str(none),)
+    none.unlink()
+    assert pipeline.load_daily(wh, WEB_COMPLAINTS, RUN[2]) == pipeline.Load()
+
+
+def test_static_load_with_a_damaged_file_keeps_the_old_table(spark, tmp_path):
+    wh, path = house(spark, tmp_path), tmp_path / "landed" / "raw" / "customers"
+    people = spark.createDataFrame([("1", "Ann"), ("2", "Bob")], "customer_id string, name string")
+    people.repartition(2, "name").write.parquet(f"file://{path}")
+    assert pipeline.load_static(wh, CUSTOMERS, RUN[0]).rejected == ()
+    damaged = sorted(file for file in path.glob("*.parquet"))[0]
+    content = damaged.read_bytes()
+    damaged.write_bytes(b"damaged")
+    for checksum in path.glob(".*.crc"):
+        checksum.unlink()
+    done = pipeline.load_static(wh, CUSTOMERS, RUN[1])
+    assert done.loaded == 0 and [name.rsplit("/", 1)[1] for name in done.rejected] == [damaged.name]
+    assert {row[AUDIT] for row in wh.raw("customers").read().collect()} == {RUN[0]}
+    done = pipeline.load_static(wh, CUSTOMERS, RUN[2], partial=True)
+    assert len(done.rejected) == 1 and wh.raw("customers").read().count() < 2
+    damaged.write_bytes(content)
+    assert pipeline.load_static(wh, CUSTOMERS, RUN[3]).rejected == ()
+    assert wh.raw("customers").read().count() == 2

@@ -8,7 +8,7 @@ from conftest import rows
 from ombuds.schemas import CALL_CENTER_LOGS, SOCIAL_MEDIA, WEB_COMPLAINTS
 from ombuds.session import conf
 from ombuds.sources.ledger import Ledger
-from ombuds.sources.stage import SOURCE_FILE, group_by_schema, intact_files, list_files, read_staged
+from ombuds.sources.stage import SOURCE_FILE, empty_files, group_by_schema, list_files, read_staged, stage_files
 
 
 def put(tmp_path, name, **columns):
@@ -78,10 +78,34 @@ def test_file_broken_in_the_middle_is_skipped_whole(spark, tmp_path):
     assert rows(read_staged(spark, SOCIAL_MEDIA, files), "complaint_id") == [("1",)]
 
 
-def test_intact_files_counts_empty_files_in(spark, tmp_path):
-    files = [put(tmp_path, "a.parquet", call_id=pa.array([], pa.string())), put(tmp_path, "b.parquet", call_id=["1"])]
-    [(schema, _)] = group_by_schema(spark, files)
-    assert files[1] in intact_files(spark, files, schema)
+def test_files_without_rows_are_read_and_damaged_ones_named(spark, tmp_path):
+    files = [
+        put(tmp_path, "a b+c%.parquet", call_id=pa.array([], pa.string())),
+        put(tmp_path, "dt=1/ü.parquet", call_id=["1"]),
+        f"file://{tmp_path}/bad.parquet",
+    ]
+    (tmp_path / "bad.parquet").write_bytes(b"damaged")
+    staged = stage_files(spark, CALL_CENTER_LOGS, files)
+    assert staged.rejected == (files[2],) and rows(staged.rows, "call_id") == [("1",)]
+    staged = stage_files(spark, CALL_CENTER_LOGS, files[:1])
+    assert staged.rejected == () and staged.rows.isEmpty()
+    assert stage_files(spark, CALL_CENTER_LOGS, files[2:]).rejected == (files[2],)
+
+
+def test_files_are_decoded_once(spark, tmp_path):
+    """Once staged, rows come from the staged table; the landed files are not read again."""
+    path = put(tmp_path, "a.parquet", call_id=["1", "2"])
+    staged = stage_files(spark, CALL_CENTER_LOGS, [path])
+    (tmp_path / "a.parquet").unlink()
+    assert rows(staged.rows, "call_id") == [("1",), ("2",)]
+
+
+def test_files_of_no_bytes_are_found(spark, tmp_path, folder):
+    put(tmp_path, "x/a.parquet", call_id=["1"])
+    (tmp_path / "x" / "b c.parquet").write_bytes(b"")
+    assert empty_files(spark, folder) == [f"{tmp_path}/x/b c.parquet"]
+    (tmp_path / "y").mkdir()
+    assert empty_files(spark, f"{folder}/y") == []
 
 
 def test_nothing_to_read(spark, tmp_path):
@@ -99,16 +123,17 @@ def test_lineage(spark, tmp_path):
 def test_ledger_knows_loaded_files(spark, tmp_path, folder):
     put(tmp_path, "in/dt=1/a.parquet", x=["1"])
     ledger, source = Ledger(spark, f"{folder}/ledger"), f"{folder}/in"
-    first = ledger.new_files(source).collect()
+    first = ledger.new_files(source)
+    assert first.count() == 1
     ledger.record(first, dt.datetime(2025, 1, 1))
-    assert len(first) == 1 and ledger.new_files(source).isEmpty()
+    assert ledger.new_files(source).isEmpty()
 
     put(tmp_path, "in/dt=2/b.parquet", x=["2"])
     assert [row.path[-9:] for row in ledger.new_files(source).collect()] == ["b.parquet"]
 
     put(tmp_path, "in/dt=1/a.parquet", x=["1", "changed"])
     assert len(ledger.new_files(source).collect()) == 2
-    ledger.record([], dt.datetime(2025, 1, 1))
+    ledger.record(ledger.new_files(source).where("false"), dt.datetime(2025, 1, 1))
     assert ledger.entries().count() == 1
 
 
