@@ -166,10 +166,10 @@ def unified_incremental(spark, sf_dir):
     return marts.fct_unified_complaints(**staged, since=marts.high_water_mark(earlier))
 
 
-@query
-def unified_upsert(spark, sf_dir):
+def _refreshed_twice(spark: SparkSession, sf_dir: str) -> VersionedTable:
     """The stored fact after a first build and one incremental refresh."""
-    table = VersionedTable(spark, scratch(spark, "unified"), UNIFIED, "complaint_pk", BUCKETS)
+    path = scratch(spark, "unified")
+    table = VersionedTable(spark, path, UNIFIED, "complaint_pk", BUCKETS, cluster="started_at")
     raw = {
         "stg_call_logs": adapters.call_center_logs(spark, sf_dir),
         "stg_web_complaints": adapters.web_complaints(spark, sf_dir),
@@ -182,7 +182,19 @@ def unified_upsert(spark, sf_dir):
             staging.stg_web_complaints(latest_per_key(cut(raw["stg_web_complaints"]), "request_id")),
             staging.stg_social_media(cut(raw["stg_social_media"])),
         )
-    return table.read()
+    return table
+
+
+@query
+def unified_upsert(spark, sf_dir):
+    """The stored fact after a first build and one incremental refresh."""
+    return _refreshed_twice(spark, sf_dir).read()
+
+
+@query
+def fact_day_range(spark, sf_dir):
+    """Complaints started in some months around the second refresh, read from the files of those days only."""
+    return _refreshed_twice(spark, sf_dir).read_between(dt.date(1998, 11, 1), dt.date(1999, 2, 28))
 
 
 @query
@@ -205,6 +217,12 @@ def dedup_latest(spark, sf_dir):
 def merge_calls_partial(spark, sf_dir):
     """Matched calls take over four columns; the rest of a changed delivery is ignored."""
     calls = adapters.call_center_logs(spark, sf_dir)
+    source = latest_per_key(_changed_calls(calls), CALL_CENTER_LOGS.merge_key)
+    target = _before(calls, UNIFIED_SPLIT)
+    return upsert(target, source, CALL_CENTER_LOGS.merge_key, CALL_CENTER_LOGS.update)
+
+
+def _changed_calls(calls: DataFrame) -> DataFrame:
     changed = (
         _since(calls, SPLIT)
         .withColumn(AUDIT, F.when(F.col("resolutionstatus") != "Backlog", F.col(AUDIT)))
@@ -212,10 +230,7 @@ def merge_calls_partial(spark, sf_dir):
         .withColumn("agent_id", F.lit("changed"))
         .withColumn("call_id", F.concat("call_id", F.lit("-b")))
     )
-    batch = pipeline.fill_audit(changed, RUN_TIME, only_missing=True)
-    source = latest_per_key(batch, CALL_CENTER_LOGS.merge_key)
-    target = _before(calls, UNIFIED_SPLIT)
-    return upsert(target, source, CALL_CENTER_LOGS.merge_key, CALL_CENTER_LOGS.update)
+    return pipeline.fill_audit(changed, RUN_TIME, only_missing=True)
 
 
 @query
@@ -249,6 +264,18 @@ def merge_web_table(spark, sf_dir):
     return table.read()
 
 
+@query
+def merge_calls_table(spark, sf_dir):
+    """``merge_calls_partial`` into a stored table, and after it a batch of new calls, for which no stored key is scanned."""
+    calls = adapters.call_center_logs(spark, sf_dir)
+    key = CALL_CENTER_LOGS.merge_key
+    table = VersionedTable(spark, scratch(spark, "calls"), CALL_CENTER_LOGS.schema, key, BUCKETS)
+    table.merge(_before(calls, UNIFIED_SPLIT), CALL_CENTER_LOGS.update)
+    table.merge(_changed_calls(calls), CALL_CENTER_LOGS.update)
+    table.merge(calls.withColumn(key, F.concat(F.lit("new-"), key)), CALL_CENTER_LOGS.update)
+    return table.read()
+
+
 @query
 def full_refresh_swap(spark, sf_dir):
     """A static table after its second full refresh."""

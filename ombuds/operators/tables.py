@@ -10,13 +10,19 @@ One writer per table at a time, as with the merges this replaces.
 Layout under ``root``: ``data/version=<n>/bucket=<b>/*.parquet`` and ``pointer/*.parquet``. A folder holds
 the rows one write put into one hash bucket of the key, so it is also a slice of load time: a batch that
 changes recent rows rewrites recent folders only, and new keys never force a rewrite of old ones.
+
+Two small indexes are written beside each version. ``keys/`` has bitmaps of the hashed keys of every folder, some bits per
+key: a merge compares them with those of its batch, and scans the keys of those folders only that share a bit. With a
+``cluster`` column rows lie in order of its days, and ``days/`` has the first and last day of every file, so that
+``read_between`` opens the files of a range only.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,7 +30,7 @@ from ombuds.operators.dedup import latest_per_key
 from ombuds.operators.quality import QualityError, duplicate_keys
 from ombuds.operators.upsert import BatchSize, batch_size, measured, spread_keys, upsert
 from ombuds.schemas import AUDIT
-from ombuds.session import path_exists, scratch
+from ombuds.session import path_exists, remove_path, scratch
 
 VERSION, BUCKET = "version", "bucket"
 _PLACE = [T.StructField(VERSION, T.LongType()), T.StructField(BUCKET, T.IntegerType())]
@@ -34,8 +40,23 @@ _POINTER = T.StructType(
         *_PLACE,
         T.StructField("live", T.BooleanType()),
         T.StructField("buckets", T.IntegerType()),
+        T.StructField("parts", T.IntegerType()),
+    ]
+)
+_KEYS = T.StructType([*_PLACE, T.StructField("part", T.IntegerType()), T.StructField("bits", T.BinaryType())])
+_DAYS = T.StructType(
+    [
+        *_PLACE,
+        T.StructField("file", T.StringType()),
+        T.StructField("first_day", T.DateType()),
+        T.StructField("last_day", T.DateType()),
+        T.StructField("rows", T.LongType()),
     ]
 )
+#: Bits of one bitmap, and of all bitmaps of a folder for each of its keys.
+_BITS, _BITS_PER_KEY = 32768, 16
+#: Rows of a file of a clustered table at most.
+FILE_ROWS = 1_000_000
 
 Folder = tuple[int, int]
 Check = Callable[[DataFrame], None]
@@ -49,12 +70,20 @@ class VersionedTable:
     """
 
     def __init__(
-        self, spark: SparkSession, root: str, schema: T.StructType, key: str | None = None, buckets: int = 1
+        self,
+        spark: SparkSession,
+        root: str,
+        schema: T.StructType,
+        key: str | None = None,
+        buckets: int = 1,
+        cluster: str | None = None,
+        file_rows: int = FILE_ROWS,
     ):
         if buckets > 1 and key is None:
             raise ValueError("a table of several buckets needs a key")
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
         self.key, self.buckets = key, buckets
+        self.cluster, self.file_rows = cluster, file_rows
 
     # reading
 
@@ -62,6 +91,22 @@ class VersionedTable:
         """The current state."""
         return self._rows(self._live()[1])
 
+    def read_between(self, first: dt.date, last: dt.date) -> DataFrame:
+        """Rows whose cluster column lies from day ``first`` through day ``last``. Other files aren't opened."""
+        if self.cluster is None:
+            raise ValueError("read_between needs a cluster column")
+        _, live, _ = self._live()
+        if not live:
+            return self._rows([])
+        folders = self.spark.createDataFrame(live, T.StructType(_PLACE))
+        days = self.spark.read.schema(_DAYS).parquet(f"{self.root}/days").join(folders, [VERSION, BUCKET], "left_semi")
+        files = days.where((F.col("last_day") >= F.lit(first)) & (F.col("first_day") <= F.lit(last))).collect()
+        paths = [f"{self.root}/data/{VERSION}={row[VERSION]}/{BUCKET}={row[BUCKET]}/{row.file}" for row in files]
+        rows = self.spark.read.schema(self.schema).parquet(*paths) if paths else self._rows([])
+        kind = self.schema[self.cluster].dataType
+        end = last + dt.timedelta(days=1)
+        return rows.where((F.col(self.cluster) >= F.lit(first).cast(kind)) & (F.col(self.cluster) < F.lit(end).cast(kind)))
+
     def register(self, view: str) -> None:
         """Point a session view at the current state."""
         self.read().createOrReplaceTempView(view)
@@ -73,20 +118,23 @@ class VersionedTable:
     def _pointer(self) -> DataFrame:
         return self.spark.read.schema(_POINTER).parquet(f"{self.root}/pointer")
 
-    def _live(self) -> tuple[int, list[Folder]]:
-        """Last version and the folders that make up the table (names only, never rows)."""
+    def _live(self) -> tuple[int, list[Folder], dict[Folder, int]]:
+        """Last version, the folders that make up the table (names only, never rows), and into how many parts the bitmaps
+        of their keys are divided."""
         if not path_exists(self.spark, f"{self.root}/pointer"):
-            return 0, []
+            return 0, [], {}
         last = self._pointer().groupBy(VERSION, BUCKET).agg(
             F.max_by("live", "written_by").alias("live"),
             F.max("written_by").alias("written_by"),
             F.max("buckets").alias("buckets"),
+            F.max("parts").alias("parts"),
         )
         rows = last.collect()
         if rows and rows[0].buckets != self.buckets:
             raise ValueError(f"{self.root} has {rows[0].buckets} buckets, not {self.buckets}")
         live = sorted((row[VERSION], row[BUCKET]) for row in rows if row.live)
-        return max((row.written_by for row in rows), default=0), live
+        parts = {(row[VERSION], row[BUCKET]): row.parts for row in rows if row.live and row.parts}
+        return max((row.written_by for row in rows), default=0), live, parts
 
     def _rows(self, folders: Iterable[Folder], with_place: bool = False) -> DataFrame:
         paths = [f"{self.root}/data/{VERSION}={v}/{BUCKET}={b}" for v, b in folders]
@@ -109,7 +157,7 @@ class VersionedTable:
             if check is not None:
                 check(written)
 
-        last, live = self._live()
+        last, live, _ = self._live()
         return self._publish(df, last + 1, retired=live, check=check_all)
 
     def merge(self, batch: DataFrame, update: tuple[str, ...] | None = None, order_by: str = AUDIT) -> int:
@@ -117,37 +165,66 @@ class VersionedTable:
         if self.key is None:
             raise ValueError("merge needs a key")
         latest = latest_per_key(batch.select(*self.schema.fieldNames()), self.key, order_by)
-        last, live = self._live()
+        last, live, parts = self._live()
         if not live:
             return self._publish(latest, last + 1, retired=[])
-        staged, size = self._stage(latest)
+        staged, size, path = self._stage(latest)
         touched = {row[BUCKET] for row in staged.select(BUCKET).distinct().collect()}
         if not touched:
             return last
         source = staged.drop(BUCKET)
-        near = [folder for folder in live if folder[1] in touched]
-        keys = spread_keys(source.select(self.key).where(F.col(self.key).isNotNull()), size)
-        hit = self._folders_with(keys, near)
+        near = self._may_hold(staged, [folder for folder in live if folder[1] in touched], parts)
+        hit = []
+        if near:
+            keys = spread_keys(source.select(self.key).where(F.col(self.key).isNotNull()), size)
+            hit = self._folders_with(keys, near)
         merged = upsert(self._rows(hit), source, self.key, update, size, unique_target=True)
-        return self._publish(merged, last + 1, retired=hit, filled=touched)
+        done = self._publish(merged, last + 1, retired=hit, filled=touched)
+        remove_path(self.spark, path)
+        return done
 
     def erase(self, values: DataFrame, column: str) -> int:
         """Delete the rows whose ``column`` is in the one-column frame ``values``."""
         wanted = values.toDF(column).where(F.col(column).isNotNull()).distinct()
-        last, live = self._live()
+        last, live, _ = self._live()
         hit = self._folders_with(wanted, live)
         if not hit:
             return last
         kept = self._rows(hit).join(wanted, column, "left_anti")
         return self._publish(kept, last + 1, retired=hit)
 
-    def _stage(self, latest: DataFrame) -> tuple[DataFrame, BatchSize]:
+    def _stage(self, latest: DataFrame) -> tuple[DataFrame, BatchSize, str]:
         """Write the deduplicated batch once: it is read three times, and a lost executor must not redo it."""
         path = scratch(self.spark, "staged")
         batch, seen = measured(latest, self.key)
         batch.withColumn(BUCKET, self._bucket_of()).write.parquet(path)
         schema = T.StructType([*self.schema.fields, T.StructField(BUCKET, T.IntegerType())])
-        return self.spark.read.schema(schema).parquet(path), batch_size(seen)
+        return self.spark.read.schema(schema).parquet(path), batch_size(seen), path
+
+    def _bits(self, rows: DataFrame, parts: Column, *by: str) -> DataFrame:
+        """``(*by, part, bits)``: bitmaps of the keys of ``rows``, whose hashes are dealt over ``parts``."""
+        hashed = F.xxhash64(self.key, F.lit("bitmap"))
+        part = F.pmod(F.shiftrightunsigned(hashed, 20), parts).cast("int").alias("part")
+        bit = hashed.bitwiseAND(F.lit(_BITS - 1)).alias("bit")
+        places = rows.where(F.col(self.key).isNotNull()).select(*by, part, bit)
+        return places.groupBy(*by, "part").agg(F.bitmap_construct_agg("bit").alias("bits"))
+
+    def _may_hold(self, staged: DataFrame, folders: list[Folder], parts: dict[Folder, int]) -> list[Folder]:
+        """Those folders whose bitmaps share a bit with the batch's, and those that have none. A folder that holds a key
+        of the batch is always among them."""
+        known = [(*folder, parts[folder]) for folder in folders if folder in parts]
+        if not known:
+            return folders
+        sizes = F.array(*(F.lit(size) for size in sorted({size for *_, size in known})))
+        batch = self._bits(staged.withColumn("parts", F.explode(sizes)), F.col("parts"), BUCKET, "parts")
+        live = self.spark.createDataFrame(known, T.StructType([*_PLACE, T.StructField("parts", T.IntegerType())]))
+        stored = self.spark.read.schema(_KEYS).parquet(f"{self.root}/keys").withColumnRenamed("bits", "stored")
+        pairs = live.join(batch, [BUCKET, "parts"]).join(stored, [VERSION, BUCKET, "part"])
+        both = pairs.select(VERSION, BUCKET, "part", F.explode(F.array("bits", "stored")).alias("bits"))
+        shared = both.groupBy(VERSION, BUCKET, "part").agg(F.bitmap_and_agg("bits").alias("bits"))
+        rows = shared.where(F.bitmap_count("bits") > 0).select(VERSION, BUCKET).distinct().collect()
+        hits = {(row[VERSION], row[BUCKET]) for row in rows}
+        return [folder for folder in folders if folder in hits or folder not in parts]
 
     def _folders_with(self, values: DataFrame, folders: list[Folder]) -> list[Folder]:
         """Those folders that hold a value of the one-column frame. Reads that column only."""
@@ -173,25 +250,55 @@ class VersionedTable:
         check: Check | None = None,
     ) -> int:
         out, path = df.select(*self.schema.fieldNames()), f"{self.root}/data/{VERSION}={version}"
+        seen = Observation()
+        out = out.observe(seen, F.count(F.lit(1)).alias("rows"))
         if self.buckets == 1:
-            out.write.mode("overwrite").parquet(f"{path}/{BUCKET}=0")
+            if self.cluster is not None:
+                out = out.repartitionByRange(F.to_date(self.cluster)).sortWithinPartitions(F.to_date(self.cluster))
+                out.write.option("maxRecordsPerFile", self.file_rows).mode("overwrite").parquet(f"{path}/{BUCKET}=0")
+            else:
+                out.write.mode("overwrite").parquet(f"{path}/{BUCKET}=0")
             filled = {0}
         else:
-            # Rebalance keeps a bucket in few files, yet splits one that is too large for a task.
-            out = out.withColumn(BUCKET, self._bucket_of()).hint("rebalance", BUCKET)
-            out.write.partitionBy(BUCKET).mode("overwrite").parquet(path)
+            out = out.withColumn(BUCKET, self._bucket_of())
+            if self.cluster is None:
+                # Rebalance keeps a bucket in few files, yet splits one that is too large for a task.
+                out.hint("rebalance", BUCKET).write.partitionBy(BUCKET).mode("overwrite").parquet(path)
+            else:
+                day = F.to_date(self.cluster)
+                out = out.repartitionByRange(BUCKET, day, self.key).sortWithinPartitions(BUCKET, day)
+                writer = out.write.option("maxRecordsPerFile", self.file_rows).partitionBy(BUCKET)
+                writer.mode("overwrite").parquet(path)
             filled = filled or self._filled(path)
         written = [(version, bucket) for bucket in sorted(filled)]
         if check is not None:
             check(self._rows(written))
-        changes = [(version, *folder, True, self.buckets) for folder in written]
-        changes += [(version, *folder, False, self.buckets) for folder in retired]
+        parts = self._index(version, path, seen.get["rows"] // max(1, len(filled)) if written else 0)
+        changes = [(version, *folder, True, self.buckets, parts) for folder in written]
+        changes += [(version, *folder, False, self.buckets, None) for folder in retired]
         if not changes:
             return version - 1
         log = self.spark.createDataFrame(changes, _POINTER).coalesce(1)
         log.write.mode("append").parquet(f"{self.root}/pointer")
         return version
 
+    def _index(self, version: int, path: str, folder_rows: int) -> int | None:
+        """Write the indexes of a version, and tell into how many parts the bitmaps of its keys are divided."""
+        names = [name for name in (self.key, self.cluster) if name is not None]
+        schema = T.StructType([*(self.schema[name] for name in names), T.StructField(BUCKET, T.IntegerType())])
+        rows = self.spark.read.schema(schema).parquet(path)
+        if self.cluster is not None:
+            day, file = F.to_date(self.cluster), F.col("_metadata.file_name").alias("file")
+            days = rows.select(BUCKET, file, day.alias("day")).groupBy(BUCKET, "file")
+            days = days.agg(F.min("day").alias("first_day"), F.max("day").alias("last_day"), F.count("*").alias("rows"))
+            days.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/days/{VERSION}={version}")
+        if self.buckets == 1:
+            return None
+        parts = 1 << max(0, (folder_rows * _BITS_PER_KEY // _BITS).bit_length())
+        bits = self._bits(rows, F.lit(parts), BUCKET)
+        bits.write.mode("overwrite").parquet(f"{self.root}/keys/{VERSION}={version}")
+        return parts
+
     def _filled(self, path: str) -> set[int]:
         schema = T.StructType([*self.schema.fields, T.StructField(BUCKET, T.IntegerType())])
         rows = self.spark.read.schema(schema).parquet(path).select(BUCKET).distinct().collect()
@@ -199,7 +306,7 @@ class VersionedTable:
 
     def expire(self, keep: int = 1) -> list[str]:
         """Delete folders retired before the last ``keep`` writes. Returns what was deleted."""
-        last, _ = self._live()
+        last, _, _ = self._live()
         if not last:
             return []
         retired = self._pointer().where(~F.col("live") & (F.col("written_by") <= last - keep))

@@ -55,7 +55,7 @@ class Warehouse:
 
     def unified(self) -> VersionedTable:
         path = f"{self.root}/marts/fct_unified_complaints"
-        return VersionedTable(self.spark, path, UNIFIED, "complaint_pk", self.buckets)
+        return VersionedTable(self.spark, path, UNIFIED, "complaint_pk", self.buckets, cluster="started_at")
 
     def ledger(self, name: str) -> Ledger:
         return Ledger(self.spark, f"{self.root}/ledger/{name}")

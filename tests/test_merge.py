@@ -207,6 +207,55 @@ def test_a_change_rewrites_only_its_folder(spark, folder):
     assert rows(stored.read().where("a = 'changed'"), "k") == [("1-7",)]
 
 
+def test_only_folders_that_share_a_bit_with_the_batch_are_scanned(spark, folder, monkeypatch):
+    stored, scanned = table(spark, folder, buckets=2), []
+    for day in range(4):
+        stored.merge(frame(spark, [(f"{day}-{i}", "a", "", DAY[day]) for i in range(30)]))
+    scan = VersionedTable._folders_with
+    monkeypatch.setattr(VersionedTable, "_folders_with", lambda self, keys, found: scanned.append(found) or scan(self, keys, found))
+    stored.merge(frame(spark, [("2-7", "changed", "", DAY[5]), ("9-9", "new", "", DAY[5])]))
+    assert [len(found) for found in scanned] == [1] and scanned[0][0][0] == 3
+    stored.merge(frame(spark, [("9-10", "new", "", DAY[6])]))
+    assert len(scanned) == 1  # a new key: no folder is even scanned
+    assert stored.read().count() == 122 and rows(stored.read().where("a = 'changed'"), "k") == [("2-7",)]
+
+
+def test_bitmaps_that_are_full_change_no_result(spark, folder, monkeypatch):
+    """Bitmaps of 8 bits say yes to nearly everything."""
+    monkeypatch.setattr("ombuds.operators.tables._BITS", 8)
+    stored = table(spark, folder)
+    first = [(str(i), "a", "b", DAY[0]) for i in range(300)]
+    second = [(str(i), None, "c", DAY[1]) for i in range(250, 320)]
+    stored.merge(frame(spark, first))
+    stored.merge(frame(spark, second), update=("a",))
+    assert rows(stored.read()) == merged_by_hand(first, second, ("a",))
+
+
+@pytest.mark.parametrize("buckets", [1, 3])
+def test_a_range_of_days_opens_its_files_only(spark, folder, buckets):
+    schema = frame(spark, []).schema
+    stored = VersionedTable(spark, f"{folder}/t", schema, "k", buckets, cluster=AUDIT, file_rows=10)
+    data = [(f"{day}-{i}", "a", "", DAY[day] + dt.timedelta(hours=23 * (i % 2))) for day in range(8) for i in range(30)]
+    stored.merge(frame(spark, [*data, ("none", "a", "", None)]))
+    stored.merge(frame(spark, [("3-1", "moved", "", DAY[6]), ("8-1", "new", "", DAY[2])]))
+    found = stored.read_between(DAY[2].date(), DAY[3].date())
+    assert rows(found, "k") == sorted([(f"{day}-{i}",) for day in (2, 3) for i in range(30) if (day, i) != (3, 1)] + [("8-1",)])
+    assert len(found.inputFiles()) <= len(stored.read().inputFiles()) / 2
+    assert stored.read_between(dt.date(2030, 1, 1), dt.date(2030, 1, 2)).isEmpty()
+    assert stored.read().count() == 242
+
+
+def test_a_merge_leaves_no_staged_batch_behind(spark, folder, monkeypatch):
+    from ombuds.session import path_exists
+
+    stored, staged = table(spark, folder), []
+    stage = VersionedTable._stage
+    monkeypatch.setattr(VersionedTable, "_stage", lambda self, batch: staged.append(stage(self, batch)) or staged[-1])
+    for day in range(3):
+        stored.merge(frame(spark, [("1", "a", "", DAY[day])]))
+    assert len(staged) == 2 and not any(path_exists(spark, path) for *_, path in staged)
+
+
 def test_readers_keep_the_state_they_opened(spark, folder):
     stored = table(spark, folder)
     stored.replace(frame(spark, [("1", "old", "", DAY[0])]))
