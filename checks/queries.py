@@ -601,9 +601,8 @@ def stream_daily_load(spark, sf_dir):
     return table.read()
 
 
-@query
-def pipeline_end_to_end(spark, sf_dir):
-    """All five sources from their files to the unified fact: complaints per channel and status."""
+def _loaded_house(spark: SparkSession, sf_dir: str) -> pipeline.Warehouse:
+    """All five sources from their files to RAW tables."""
     lake, day = scratch(spark, "lake"), "2025-11-20"
     house = pipeline.Warehouse(spark, scratch(spark, "landed"), scratch(spark, "house"), BUCKETS)
     _write_sources(spark, sf_dir, lake, day)
@@ -615,11 +614,34 @@ def pipeline_end_to_end(spark, sf_dir):
         pipeline.load_static(house, table, RUN_TIME)
     for table in (CALL_CENTER_LOGS, WEB_COMPLAINTS, SOCIAL_MEDIA):
         pipeline.load_daily(house, table, RUN_TIME)
+    return house
+
+
+@query
+def pipeline_end_to_end(spark, sf_dir):
+    """All five sources from their files to the unified fact: complaints per channel and status."""
+    house = _loaded_house(spark, sf_dir)
     pipeline.build_marts(house, AS_OF)
-    groups = house.unified().read().groupBy("channel", "status")
+    groups = pipeline.read_marts(house)[pipeline.FACT].groupBy("channel", "status")
     return groups.agg(F.count(F.lit(1)).alias("complaints"), F.max("started_at").alias("last_started"))
 
 
+@query
+def gate_blocks_bad_marts(spark, sf_dir):
+    """Rows of all seven marts after a second build that its tests stopped: those of the build before."""
+    house = _loaded_house(spark, sf_dir)
+    pipeline.build_marts(house, AS_OF)
+    customers = house.raw("customers").read()
+    house.raw("customers").replace(customers.unionByName(customers))
+    calls = house.raw("call_center_logs").read().withColumn(AUDIT, F.lit(SECOND_RUN).cast("timestamp_ntz"))
+    house.raw("call_center_logs").merge(calls.withColumn("call_id", F.concat("call_id", F.lit("-more"))))
+    try:
+        pipeline.build_marts(house, AS_OF)
+    except pipeline.FailedTests:
+        return quality.row_counts(pipeline.read_marts(house))
+    raise AssertionError("customers twice over should have stopped the build")
+
+
 def _all_agents(spark: SparkSession, sf_dir: str, agents: DataFrame) -> DataFrame:
     """``agents``, and those that calls name besides: small tables have fewer suppliers than calls have agents."""
     named = adapters.call_center_logs(spark, sf_dir).select(F.col("agent_id").alias("id")).distinct()

@@ -145,23 +145,75 @@ MART_EXPECTATIONS = {
 }
 
 
+@dataclass(frozen=True)
+class _Test:
+    """One declared test; ``fails`` tells of single rows, the others count values."""
+
+    test: str
+    table: str
+    column: str
+    fails: Column | None = None
+    reference: Reference | None = None
+
+
+def _declared(name: str, expected: Expectations) -> list[_Test]:
+    rows = [_null_test(column) for column in expected.not_null]
+    rows += [_value_test(column, values) for column, values in expected.accepted]
+    return [
+        *(_Test("unique", name, column) for column in expected.unique),
+        *(_Test(test, name, column, fails) for test, column, fails in rows),
+        *(_Test("relationships", name, ref.column, reference=ref) for ref in expected.references),
+    ]
+
+
 def run_suite(tables: Mapping[str, DataFrame], expectations: Mapping[str, Expectations]) -> DataFrame:
-    """All declared tests whose table is given, as one frame."""
-    results: list[DataFrame] = []
-    for name, expected in expectations.items():
-        if name not in tables:
-            continue
-        df = tables[name]
-        results += [unique(df, name, column) for column in expected.unique]
-        single = [_null_test(column) for column in expected.not_null]
-        single += [_value_test(column, values) for column, values in expected.accepted]
-        if single:
-            results.append(row_tests(df, name, single))
-        results += [
-            relationships(df, name, ref.column, tables[ref.parent], ref.parent_column)
-            for ref in expected.references
-        ]
-    return _union(results)
+    """All declared tests whose table is given, as one frame. Each table is read once.
+
+    Every row becomes what its table's tests have to count: its value under each test of uniqueness, its reference, the
+    key that others refer to, and the row tests it fails. Rows of all tables are counted per (test, value) together, before
+    and after one shuffle; then a test fails for values met twice, or for references whose value no parent has.
+    """
+    declared = [
+        test for name, expected in expectations.items() if name in tables for test in _declared(name, expected)
+    ]
+
+    def entry(number: int, key: Column, parent: bool = False) -> Column:
+        return F.struct(F.lit(number).alias("number"), key.alias("key"), F.lit(parent).alias("parent"))
+
+    counted = []
+    for name, df in tables.items():
+        entries = []
+        for number, test in enumerate(declared):
+            value = F.col(test.column).cast("string")
+            if test.table == name and test.fails is not None:
+                entries.append(F.when(test.fails, entry(number, F.lit(None).cast("string"))))
+            elif test.table == name:
+                entries.append(F.when(F.col(test.column).isNotNull(), entry(number, value)))
+            if test.reference is not None and test.reference.parent == name:
+                parent = F.col(test.reference.parent_column)
+                entries.append(F.when(parent.isNotNull(), entry(number, parent.cast("string"), True)))
+        if entries:
+            counted.append(df.select(F.inline(F.array_compact(F.array(*entries)))))
+    if not declared:
+        raise QualityError("no test is declared for any of these tables")
+    per_key = _union(counted).groupBy("number", "key").agg(
+        F.count_if(~F.col("parent")).alias("rows"), F.bool_or("parent").alias("known")
+    )
+    kinds = F.array(*(F.lit(test.test) for test in declared))
+    kind, rows = F.get(kinds, F.col("number")), F.col("rows")
+    failures = (
+        F.when(kind == "unique", (rows > 1).cast("long"))
+        .when(kind == "relationships", F.when(F.col("known"), 0).otherwise(rows))
+        .otherwise(rows)
+    )
+    totals = per_key.groupBy("number").agg(F.sum(failures).alias("failures"))
+    spark = totals.sparkSession
+    names = spark.createDataFrame(
+        [(number, test.test, test.table, test.column) for number, test in enumerate(declared)],
+        "number int, test string, `table` string, column string",
+    )
+    found = names.join(totals, "number", "left")
+    return found.select("test", "table", "column", F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures"))
 
 
 def _result(test: str, table: str, column: str, one_row: DataFrame) -> DataFrame:

@@ -87,9 +87,9 @@ class VersionedTable:
 
     # reading
 
-    def read(self) -> DataFrame:
-        """The current state."""
-        return self._rows(self._live()[1])
+    def read(self, at: int | None = None) -> DataFrame:
+        """The current state, or that after write ``at``, as long as ``expire`` has left it."""
+        return self._rows(self._live(at)[1])
 
     def read_between(self, first: dt.date, last: dt.date) -> DataFrame:
         """Rows whose cluster column lies from day ``first`` through day ``last``. Other files aren't opened."""
@@ -118,12 +118,21 @@ class VersionedTable:
     def _pointer(self) -> DataFrame:
         return self.spark.read.schema(_POINTER).parquet(f"{self.root}/pointer")
 
-    def _live(self) -> tuple[int, list[Folder], dict[Folder, int]]:
+    def revert(self, to: int) -> int:
+        """Make the state after write ``to`` the current one again, as a write that moves no data."""
+        last, live, _ = self._live()
+        _, wanted, parts = self._live(to)
+        back = [(last + 1, *folder, True, self.buckets, parts.get(folder)) for folder in wanted if folder not in live]
+        gone = [(last + 1, *folder, False, self.buckets, None) for folder in live if folder not in wanted]
+        return self._point(last + 1, back + gone)
+
+    def _live(self, at: int | None = None) -> tuple[int, list[Folder], dict[Folder, int]]:
         """Last version, the folders that make up the table (names only, never rows), and into how many parts the bitmaps
         of their keys are divided."""
         if not path_exists(self.spark, f"{self.root}/pointer"):
             return 0, [], {}
-        last = self._pointer().groupBy(VERSION, BUCKET).agg(
+        pointer = self._pointer() if at is None else self._pointer().where(F.col("written_by") <= at)
+        last = pointer.groupBy(VERSION, BUCKET).agg(
             F.max_by("live", "written_by").alias("live"),
             F.max("written_by").alias("written_by"),
             F.max("buckets").alias("buckets"),
@@ -276,6 +285,9 @@ class VersionedTable:
         parts = self._index(version, path, seen.get["rows"] // max(1, len(filled)) if written else 0)
         changes = [(version, *folder, True, self.buckets, parts) for folder in written]
         changes += [(version, *folder, False, self.buckets, None) for folder in retired]
+        return self._point(version, changes)
+
+    def _point(self, version: int, changes: list[tuple]) -> int:
         if not changes:
             return version - 1
         log = self.spark.createDataFrame(changes, _POINTER).coalesce(1)

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ombuds.operators.clustered import write_clustered
 from ombuds.operators.quality import MART_EXPECTATIONS, RAW_EXPECTATIONS, require_rows, run_suite
@@ -14,7 +16,7 @@ from ombuds.operators.tables import VersionedTable
 from ombuds.plans import marts
 from ombuds.plans.staging import STAGING
 from ombuds.schemas import AUDIT, RAW_TABLES, UNIFIED, RawTable
-from ombuds.session import scratch
+from ombuds.session import path_exists, scratch
 from ombuds.sources.landing import utc_now
 from ombuds.sources.ledger import Ledger
 from ombuds.sources.paths import RAW_FOLDERS
@@ -129,11 +131,23 @@ def _without_key(table: RawTable, key: str) -> tuple[str, ...] | None:
     return tuple(name for name in table.update if name != key)
 
 
+_BUILD = T.StructType(
+    [
+        T.StructField("build", T.LongType()),
+        T.StructField("mart", T.StringType()),
+        T.StructField("version", T.LongType()),
+        T.StructField("columns", T.StringType()),
+    ]
+)
+FACT = "fct_unified_complaints"
+
+
 def build_marts(warehouse: Warehouse, as_of: dt.date | None = None) -> dict[str, str]:
-    """Rebuild dimensions and channel facts, and bring the unified fact up to date.
+    """Rebuild dimensions and channel facts, bring the unified fact up to date, and publish all seven together.
 
-    The declared tests run on the new frames first. If one fails, ``FailedTests`` is raised and nothing is published:
-    readers keep the marts of the last good build.
+    The declared tests run on what was written. If one fails, ``FailedTests`` is raised, the tables go back to their
+    versions before, and no build is recorded. A build is one small file that names a version of each mart, so
+    ``read_mart`` never shows new dimensions beside an old fact.
     """
     staged = warehouse.staging()
     day = None if as_of is None else F.lit(as_of)
@@ -145,22 +159,46 @@ def build_marts(warehouse: Warehouse, as_of: dt.date | None = None) -> dict[str,
         "fct_web_complaints": marts.fct_web_complaints(staged["stg_web_complaints"]),
         "fct_social_media": marts.fct_social_media(staged["stg_social_media"]),
     }
-    failed = check_marts(frames).where("failures > 0").collect()
+    tables = {name: mart(warehouse, name, frame.schema) for name, frame in frames.items()}
+    tables[FACT] = warehouse.unified()
+    before = {name: table.version() for name, table in tables.items()}
+    versions = {name: tables[name].replace(frame) for name, frame in frames.items()}
+    channels = (staged[name] for name in ("stg_call_logs", "stg_web_complaints", "stg_social_media"))
+    versions[FACT] = marts.refresh_unified(tables[FACT], *channels)
+    written = {name: table.read(versions[name]) for name, table in tables.items()}
+    failed = check_marts(written).where("failures > 0").collect()
     if failed:
+        for name, table in tables.items():
+            table.revert(before[name])
         raise FailedTests("; ".join(f"{row.test} of {row.table}.{row.column}: {row.failures}" for row in failed))
-    for name, frame in frames.items():
-        mart(warehouse, name, frame).replace(frame)
-    marts.refresh_unified(
-        warehouse.unified(),
-        staged["stg_call_logs"],
-        staged["stg_web_complaints"],
-        staged["stg_social_media"],
-    )
-    return {name: f"{warehouse.root}/marts/{name}" for name in (*frames, "fct_unified_complaints")}
-
-
-def mart(warehouse: Warehouse, name: str, frame: DataFrame) -> VersionedTable:
-    return VersionedTable(warehouse.spark, f"{warehouse.root}/marts/{name}", frame.schema)
+    number = 1 + (_last_build(warehouse) or 0)
+    rows = [(number, name, versions[name], table.schema.json()) for name, table in tables.items()]
+    build = warehouse.spark.createDataFrame(rows, _BUILD).coalesce(1)
+    build.write.mode("append").parquet(f"{warehouse.root}/builds")
+    return {name: f"{warehouse.root}/marts/{name}" for name in tables}
+
+
+def _last_build(warehouse: Warehouse) -> int | None:
+    path = f"{warehouse.root}/builds"
+    if not path_exists(warehouse.spark, path):
+        return None
+    return warehouse.spark.read.schema(_BUILD).parquet(path).agg(F.max("build")).first()[0]
+
+
+def read_marts(warehouse: Warehouse) -> dict[str, DataFrame]:
+    """All marts as of the last complete build."""
+    number = _last_build(warehouse)
+    if number is None:
+        raise RuntimeError(f"{warehouse.root} has no complete build yet")
+    builds = warehouse.spark.read.schema(_BUILD).parquet(f"{warehouse.root}/builds")
+    found = {row.mart: row for row in builds.where(F.col("build") == number).collect()}
+    schemas = {name: T.StructType.fromJson(json.loads(row["columns"])) for name, row in found.items()}
+    tables = {name: warehouse.unified() if name == FACT else mart(warehouse, name, schemas[name]) for name in found}
+    return {name: table.read(found[name].version) for name, table in tables.items()}
+
+
+def mart(warehouse: Warehouse, name: str, schema: T.StructType) -> VersionedTable:
+    return VersionedTable(warehouse.spark, f"{warehouse.root}/marts/{name}", schema)
 
 
 def publish_clustered(warehouse: Warehouse) -> str:

@@ -82,6 +82,25 @@ def test_suite(calls, agents):
     ]
 
 
+def test_suite_reads_each_table_once(spark, folder, calls, agents):
+    calls.write.parquet(f"{folder}/calls")
+    agents.write.parquet(f"{folder}/agents")
+    expected = {
+        "calls": Expectations(("call_id", "agent_id"), ("call_id", "agent_id"), (Reference("agent_id", "agents", "agent_id"),)),
+        "agents": Expectations(("agent_id",), ("agent_id",)),
+    }
+    suite = quality.run_suite({name: spark.read.parquet(f"{folder}/{name}") for name in expected}, expected)
+    assert plan(suite).count("FileScan parquet") == 2
+    found = {(row.test, row.table, row.column): row.failures for row in suite.collect()}
+    assert found == {
+        ("unique", "calls", "call_id"): 1, ("unique", "calls", "agent_id"): 3, ("not_null", "calls", "call_id"): 2,
+        ("not_null", "calls", "agent_id"): 1, ("relationships", "calls", "agent_id"): 2, ("unique", "agents", "agent_id"): 1,
+        ("not_null", "agents", "agent_id"): 1,
+    }
+    empty = {name: spark.read.parquet(f"{folder}/{name}").limit(0) for name in expected}
+    assert {row.failures for row in quality.run_suite(empty, expected).collect()} == {0}
+
+
 def test_declared_tests():
     raw, marts = quality.RAW_EXPECTATIONS.values(), quality.MART_EXPECTATIONS
     assert sum(len(e.unique) for e in raw) == 5 and sum(len(e.not_null) for e in raw) == 11
