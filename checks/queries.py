@@ -24,7 +24,7 @@ from ombuds.session import conf, configure, move_path, remove_path, scratch
 from ombuds.sources import files, landing
 from ombuds.sources.paths import AGENT_SHEET, CALL_LOGS, MEDIA, STATIC, WEB_FORMS
 from ombuds.sources.stage import list_files, read_staged
-from ombuds.streaming.daily import load_available
+from ombuds.streaming.daily import load_available, quarantined
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -617,6 +617,43 @@ def _loaded_house(spark: SparkSession, sf_dir: str) -> pipeline.Warehouse:
     return house
 
 
+@query
+def stream_unified(spark, sf_dir):
+    """The unified fact of web complaints that two runs of the stream keep up to date with the RAW table."""
+    web = adapters.web_complaints(spark, sf_dir)
+    landed, checkpoint = scratch(spark, "landed"), scratch(spark, "checkpoint")
+    table = VersionedTable(spark, scratch(spark, "web"), WEB_COMPLAINTS.schema, "request_id", BUCKETS)
+    fact = VersionedTable(spark, scratch(spark, "unified"), UNIFIED, "complaint_pk", BUCKETS, cluster="started_at")
+    parts = [(_before(web, SPLIT), "2025-11-20", RUN_TIME), (_since(web, SPLIT), "2025-11-21", SECOND_RUN)]
+    for part, day, run_time in parts:
+        _write_landed_web(part, landed, day)
+        load_available(spark, WEB_COMPLAINTS, f"{landed}/raw/postgres", table, checkpoint, run_time, fact)
+    return fact.read()
+
+
+@query
+def stream_bad_file(spark, sf_dir):
+    """The RAW web table of a stream that met a damaged file, and took it once it was put right."""
+    web = adapters.web_complaints(spark, sf_dir)
+    landed, checkpoint = scratch(spark, "landed"), scratch(spark, "checkpoint")
+    table = VersionedTable(spark, scratch(spark, "web"), WEB_COMPLAINTS.schema, "request_id", BUCKETS)
+    folder, day = f"{landed}/raw/postgres", f"{landed}/raw/postgres/dt=2025-11-21"
+    _write_landed_web(_before(web, SPLIT), landed, "2025-11-20")
+    damaged = spark.range(1).select(F.lit("damaged").alias("value")).coalesce(1)
+    damaged.write.option("compression", "none").text(day)
+    move_path(spark, spark.read.text(day).inputFiles()[0], f"{day}/part-0.parquet")
+    load_available(spark, WEB_COMPLAINTS, folder, table, checkpoint, RUN_TIME)
+    if quarantined(spark, table).count() != 1:
+        raise AssertionError("the damaged file should be in quarantine")
+    remove_path(spark, day)
+    late = scratch(spark, "late")
+    _since(web, SPLIT).drop(AUDIT).coalesce(1).write.parquet(late)
+    move_path(spark, late, day)
+    move_path(spark, spark.read.parquet(day).inputFiles()[0], f"{day}/part-0.parquet")
+    load_available(spark, WEB_COMPLAINTS, folder, table, checkpoint, SECOND_RUN)
+    return table.read()
+
+
 @query
 def pipeline_end_to_end(spark, sf_dir):
     """All five sources from their files to the unified fact: complaints per channel and status."""

@@ -91,6 +91,10 @@ class VersionedTable:
         """The current state, or that after write ``at``, as long as ``expire`` has left it."""
         return self._rows(self._live(at)[1])
 
+    def written_by(self, version: int) -> DataFrame:
+        """Rows of the folders that write ``version`` filled: all it inserted or changed, and their neighbours."""
+        return self._rows([folder for folder in self._live(version)[1] if folder[0] == version])
+
     def read_between(self, first: dt.date, last: dt.date) -> DataFrame:
         """Rows whose cluster column lies from day ``first`` through day ``last``. Other files aren't opened."""
         if self.cluster is None:

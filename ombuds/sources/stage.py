@@ -34,8 +34,8 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
 def empty_files(spark: SparkSession, folder: str) -> list[str]:
     """Parquet files of 0 bytes below a folder: broken off before anything was written, and hidden from every scan."""
     files = spark.read.format("binaryFile").options(recursiveFileLookup="true", pathGlobFilter="*.parquet").load(folder)
-    listed = {_plain(unquote(name)) for name in files.inputFiles()}  # the listing has them, the scan hasn't
-    return sorted(listed - {_plain(row.path) for row in files.select("path").collect()}) if listed else []
+    listed = {unquote(name).replace("file:///", "file:/", 1) for name in files.inputFiles()}  # these have them
+    return sorted(listed - {row.path for row in files.select("path").collect()}) if listed else []
 
 
 # Files of one schema

@@ -6,6 +6,7 @@ from ombuds.plans import pipeline
 from ombuds.schemas import AUDIT, CALL_CENTER_LOGS, CUSTOMERS, RAW_TABLES, SOCIAL_MEDIA, UNIFIED, WEB_COMPLAINTS
 from ombuds.sources import landing
 from ombuds.sources.paths import AGENT_SHEET, CALL_LOGS, MEDIA, STATIC, WEB_FORMS
+from ombuds.streaming import daily
 from ombuds.streaming.daily import load_available
 
 import pytest
@@ -254,7 +255,7 @@ def test_files_without_rows_are_loaded_and_those_without_bytes_reported(spark, t
     none.write_bytes(b"")
     for run, loaded in ((RUN[0], 2), (RUN[1], 0)):
         done = pipeline.load_daily(wh, WEB_COMPLAINTS, run)
-        assert done.loaded == loaded and done.rejected == (str(none),)
+        assert done.loaded == loaded and done.rejected == (f"file:{none}",)
     none.unlink()
     assert pipeline.load_daily(wh, WEB_COMPLAINTS, RUN[2]) == pipeline.Load()
 
@@ -277,3 +278,52 @@ def test_static_load_with_a_damaged_file_keeps_the_old_table(spark, tmp_path):
     damaged.write_bytes(content)
     assert pipeline.load_static(wh, CUSTOMERS, RUN[3]).rejected == ()
     assert wh.raw("customers").read().count() == 2
+
+
+def test_stream_quarantines_damaged_files_and_takes_them_when_put_right(spark, tmp_path):
+    folder = f"file://{tmp_path}"
+    target = VersionedTable(spark, f"{folder}/web", WEB_COMPLAINTS.schema, "request_id", 2)
+    source = tmp_path / "raw" / "postgres"
+
+    def load(run_time):
+        return load_available(spark, WEB_COMPLAINTS, f"{folder}/raw/postgres", target, f"{folder}/checkpoint", run_time)
+
+    def held():
+        return sorted(row.path.rsplit("/", 1)[1] for row in daily.quarantined(spark, target).collect())
+
+    land_web(spark, folder, "2025-11-20", ("1", "a", "Backlog"))
+    (source / "dt=2025-11-20" / "bad.parquet").write_bytes(b"damaged")
+    (source / "dt=2025-11-20" / "none.parquet").write_bytes(b"")
+    typed = spark.createDataFrame([("2", 7)], "request_id string, customer_id int")
+    typed.coalesce(1).write.parquet(f"{folder}/raw/postgres/dt=2025-11-21")
+    assert load(RUN[0]) == 1
+    assert held() == ["bad.parquet", "none.parquet"]
+    assert rows(target.read(), "request_id", "customer_id") == [("1", "a"), ("2", "7")]
+    assert load(RUN[1]) == 0
+    land_web(spark, folder, "2025-11-22", ("3", "c", "Backlog"))
+    [good] = (source / "dt=2025-11-22").glob("*.parquet")
+    for name in ("bad", "none"):
+        (source / "dt=2025-11-20" / f"{name}.parquet").write_bytes(good.read_bytes())
+    assert load(RUN[2]) == 2 and held() == []
+    assert load(RUN[3]) == 0
+    assert rows(target.read(), "request_id", AUDIT) == [("1", RUN[0]), ("2", RUN[0]), ("3", RUN[2])]
+
+
+def test_a_batch_that_runs_again_changes_nothing(spark, tmp_path, monkeypatch):
+    folder = f"file://{tmp_path}"
+    target = VersionedTable(spark, f"{folder}/web", WEB_COMPLAINTS.schema, "request_id", 2)
+    fact = VersionedTable(spark, f"{folder}/fact", UNIFIED, "complaint_pk", 2)
+
+    def load(run_time):
+        place = (f"{folder}/raw/postgres", target, f"{folder}/checkpoint", run_time, fact)
+        return load_available(spark, WEB_COMPLAINTS, *place)
+
+    land_web(spark, folder, "2025-11-20", ("1", "a", "Backlog"))
+    with monkeypatch.context() as patched:
+        patched.setattr(daily, "_complaints_of", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(Exception, match="lost"):
+            load(RUN[0])
+    assert rows(target.read(), "request_id", AUDIT) == [("1", RUN[0])] and fact.read().isEmpty()
+    assert load(RUN[1]) == 1  # the same batch, with the time it had
+    assert rows(target.read(), "request_id", AUDIT) == [("1", RUN[0])]
+    assert rows(fact.read(), "source_complaint_id", "ingested_at") == [("1", RUN[0])]

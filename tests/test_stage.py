@@ -103,7 +103,7 @@ def test_files_are_decoded_once(spark, tmp_path):
 def test_files_of_no_bytes_are_found(spark, tmp_path, folder):
     put(tmp_path, "x/a.parquet", call_id=["1"])
     (tmp_path / "x" / "b c.parquet").write_bytes(b"")
-    assert empty_files(spark, folder) == [f"{tmp_path}/x/b c.parquet"]
+    assert empty_files(spark, folder) == [f"file:{tmp_path}/x/b c.parquet"]
     (tmp_path / "y").mkdir()
     assert empty_files(spark, f"{folder}/y") == []
 
