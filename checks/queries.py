@@ -18,7 +18,7 @@ from ombuds.operators.clustered import read_clustered, write_clustered
 from ombuds.operators.dedup import latest_per_key
 from ombuds.operators.tables import VersionedTable
 from ombuds.operators.upsert import upsert
-from ombuds.plans import analytics, marts, pipeline, staging
+from ombuds.plans import analytics, erasure, marts, pipeline, staging
 from ombuds.schemas import AGENTS, AUDIT, CALL_CENTER_LOGS, CUSTOMERS, RAW_TABLES, SOCIAL_MEDIA, UNIFIED, WEB_COMPLAINTS
 from ombuds.session import conf, configure, move_path, remove_path, scratch
 from ombuds.sources import files, landing
@@ -679,6 +679,21 @@ def gate_blocks_bad_marts(spark, sf_dir):
     raise AssertionError("customers twice over should have stopped the build")
 
 
+@query
+def erase_customer_everywhere(spark, sf_dir):
+    """Rows per layer, of erased customers and of others, after those with an unreadable birth date were erased."""
+    house = _loaded_house(spark, sf_dir)
+    pipeline.build_marts(house, AS_OF)
+    born = stg_customers(spark, sf_dir)
+    unreadable = born.where(F.col("date_of_birth").isNull()).select("customer_id")
+    erasure.erase_customers(house, unreadable)
+    for table in (CALL_CENTER_LOGS, WEB_COMPLAINTS, SOCIAL_MEDIA):
+        done = pipeline.load_daily(house, table, SECOND_RUN)
+        if done != pipeline.Load():
+            raise AssertionError(f"rewritten files of {table.name} should not be new, but {done}")
+    return erasure.rows_per_layer(house, unreadable)
+
+
 def _all_agents(spark: SparkSession, sf_dir: str, agents: DataFrame) -> DataFrame:
     """``agents``, and those that calls name besides: small tables have fewer suppliers than calls have agents."""
     named = adapters.call_center_logs(spark, sf_dir).select(F.col("agent_id").alias("id")).distinct()

@@ -16,7 +16,7 @@ from ombuds.operators.tables import VersionedTable
 from ombuds.plans import marts
 from ombuds.plans.staging import STAGING
 from ombuds.schemas import AUDIT, RAW_TABLES, UNIFIED, RawTable
-from ombuds.session import path_exists, scratch
+from ombuds.session import path_exists, remove_path, scratch
 from ombuds.sources.landing import utc_now
 from ombuds.sources.ledger import Ledger
 from ombuds.sources.paths import RAW_FOLDERS
@@ -94,6 +94,7 @@ def load_static(
         return Load(0, rejected)
     stamped = fill_audit(staged.rows, run_time or utc_now())
     warehouse.raw(table.name).replace(stamped, check=require_rows)
+    staged.discard()
     return Load(len(paths) - len(staged.rejected), rejected)
 
 
@@ -122,6 +123,8 @@ def load_daily(warehouse: Warehouse, table: RawTable, run_time: dt.datetime | No
         target.merge(fill_audit(staged.rows, run_time, only_missing=True), update)
         left_out = spark.createDataFrame([(path,) for path in staged.rejected], "path string")
         ledger.record(files.join(left_out, "path", "left_anti"), run_time)
+    staged.discard()
+    remove_path(spark, listing)
     return Load(len(paths) - len(staged.rejected), (*staged.rejected, *empty))
 
 
@@ -171,11 +174,17 @@ def build_marts(warehouse: Warehouse, as_of: dt.date | None = None) -> dict[str,
         for name, table in tables.items():
             table.revert(before[name])
         raise FailedTests("; ".join(f"{row.test} of {row.table}.{row.column}: {row.failures}" for row in failed))
+    record_build(warehouse, tables, versions)
+    return {name: f"{warehouse.root}/marts/{name}" for name in tables}
+
+
+def record_build(warehouse: Warehouse, tables: dict[str, VersionedTable], versions: dict[str, int]) -> int:
+    """Publish versions of all marts together."""
     number = 1 + (_last_build(warehouse) or 0)
     rows = [(number, name, versions[name], table.schema.json()) for name, table in tables.items()]
     build = warehouse.spark.createDataFrame(rows, _BUILD).coalesce(1)
     build.write.mode("append").parquet(f"{warehouse.root}/builds")
-    return {name: f"{warehouse.root}/marts/{name}" for name in tables}
+    return number
 
 
 def _last_build(warehouse: Warehouse) -> int | None:

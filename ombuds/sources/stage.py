@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ombuds.schemas import RawTable
-from ombuds.session import conf, shared_dir
+from ombuds.session import conf, remove_path, shared_dir
 
 SOURCE_FILE = "source_file"
 _FOOTER_THREADS = 16
@@ -110,6 +110,12 @@ class Staged:
 
     rows: DataFrame
     rejected: tuple[str, ...] = ()
+    path: str | None = None
+
+    def discard(self) -> None:
+        """Delete the staged rows, when they are where they belong."""
+        if self.path is not None:
+            remove_path(self.rows.sparkSession, self.path)
 
 
 def stage_files(spark: SparkSession, table: RawTable, files: list[str]) -> Staged:
@@ -148,7 +154,7 @@ def stage_files(spark: SparkSession, table: RawTable, files: list[str]) -> Stage
         names = spark.createDataFrame(broken, f"{SOURCE_FILE} string")
         staged = staged.join(F.broadcast(names) if len(broken) <= _FEW else names, SOURCE_FILE, "left_anti")
     rejected = sorted(row.path for row in doubtful if row.path not in read)
-    return Staged(staged.select(*columns.names), tuple(rejected))
+    return Staged(staged.select(*columns.names), tuple(rejected), path)
 
 
 def read_staged(

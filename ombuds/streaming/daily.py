@@ -88,6 +88,7 @@ def load_available(
                 # What the merge made of the batch, not the batch: a partial merge keeps old columns.
                 changed = target.written_by(version).where(F.col(AUDIT) >= F.lit(now).cast("timestamp_ntz"))
                 fact.merge(_complaints_of(table, changed), order_by="ingested_at")
+        staged.discard()
         return set(staged.rejected)
 
     def merge(batch: DataFrame, number: int) -> None:
