@@ -265,23 +265,21 @@ class VersionedTable:
         out, path = df.select(*self.schema.fieldNames()), f"{self.root}/data/{VERSION}={version}"
         seen = Observation()
         out = out.observe(seen, F.count(F.lit(1)).alias("rows"))
+        day = [] if self.cluster is None else [F.to_date(self.cluster)]
         if self.buckets == 1:
-            if self.cluster is not None:
-                out = out.repartitionByRange(F.to_date(self.cluster)).sortWithinPartitions(F.to_date(self.cluster))
-                out.write.option("maxRecordsPerFile", self.file_rows).mode("overwrite").parquet(f"{path}/{BUCKET}=0")
-            else:
-                out.write.mode("overwrite").parquet(f"{path}/{BUCKET}=0")
+            writer = (out.sortWithinPartitions(*day) if day else out).write
+            path_written = f"{path}/{BUCKET}=0"
             filled = {0}
         else:
-            out = out.withColumn(BUCKET, self._bucket_of())
-            if self.cluster is None:
-                # Rebalance keeps a bucket in few files, yet splits one that is too large for a task.
-                out.hint("rebalance", BUCKET).write.partitionBy(BUCKET).mode("overwrite").parquet(path)
-            else:
-                day = F.to_date(self.cluster)
-                out = out.repartitionByRange(BUCKET, day, self.key).sortWithinPartitions(BUCKET, day)
-                writer = out.write.option("maxRecordsPerFile", self.file_rows).partitionBy(BUCKET)
-                writer.mode("overwrite").parquet(path)
+            # Rebalance keeps a bucket in few files, yet splits one that is too large for a task.
+            out = out.withColumn(BUCKET, self._bucket_of()).hint("rebalance", BUCKET)
+            writer = (out.sortWithinPartitions(BUCKET, *day) if day else out).write.partitionBy(BUCKET)
+            path_written = path
+        if day:
+            # Sorted, and cut: each file holds few days, however the rows came to its task.
+            writer = writer.option("maxRecordsPerFile", self.file_rows)
+        writer.mode("overwrite").parquet(path_written)
+        if self.buckets > 1:
             filled = filled or self._filled(path)
         written = [(version, bucket) for bucket in sorted(filled)]
         if check is not None:
