@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import io
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
@@ -71,6 +72,35 @@ def discard(spark: SparkSession, *paths: str) -> None:
             hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores after it as make it no column of ``df``."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def keeps_names(work: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """For functions of a frame whose inner columns begin with two underscores: columns of the frame that do so too have
+    other names meanwhile, and their own again in the result."""
+
+    @functools.wraps(work)
+    def run(df: DataFrame, *args, **kwargs) -> DataFrame:
+        inner = [name for name in df.columns if name.startswith("__")]
+        if not inner:
+            return work(df, *args, **kwargs)
+        stem = "own"
+        while any(name.lower().startswith(stem) for name in df.columns):
+            stem += "_"
+        away = {name: f"{stem}_{number}" for number, name in enumerate(inner)}
+        moved = {name: away.get(value, value) if isinstance(value, str) else value for name, value in kwargs.items()}
+        positional = [away.get(value, value) if isinstance(value, str) else value for value in args]
+        back = {new: old for old, new in away.items()}
+        return work(df.withColumnsRenamed(away), *positional, **moved).withColumnsRenamed(back)
+
+    return run
+
+
 def with_columns(
     df: DataFrame,
     source: str,

@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ombuds.llm.common import small_or_shuffled, written
+from ombuds.llm.common import keeps_names, small_or_shuffled, written
 
 WORDS, SIMILARITY, RADIUS, BLOCKS = 5, 0.8, 19, 4
 #: Left out of words, so that quotes and full stops don't hide a copy.
@@ -149,6 +149,7 @@ def document(id: str = "doc_id", text: str = "text") -> Column:
     return F.struct(F.col(f"`{id}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("mark"))
 
 
+@keeps_names
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` without any window like a benchmark item, all columns unchanged."""
     found = contaminated(docs, benchmark, id, text).select(F.col("doc").alias("__doc")).distinct()

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ombuds.llm.common import small_or_shuffled, written
+from ombuds.llm.common import keeps_names, small_or_shuffled, written
 
 LINES, WINDOW, PASSAGE_WORDS = 2, 2, 50
 SALT_ROWS, FEW = 1000, 6
@@ -150,6 +150,7 @@ def _again(found: DataFrame, label: str) -> DataFrame:
     return small_or_shuffled(again, label, 68)
 
 
+@keeps_names
 def dedup_lines(
     docs: DataFrame,
     id: str = "doc_id",

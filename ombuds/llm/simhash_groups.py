@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
-from ombuds.llm.common import ready, with_columns, written
+from ombuds.llm.common import keeps_names, ready, with_columns, written
 from ombuds.llm.components import components
 
 SEED = 42
@@ -142,6 +142,7 @@ def near_duplicates(
     )
 
 
+@keeps_names
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 3, bits: int = 2) -> DataFrame:
     """The row with the smallest id of each group of near duplicates, all its columns unchanged.
 
