@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ombuds.llm import bpe, decontaminate, line_chunks, line_crf, simhash_groups
-from ombuds.llm.common import table, written
+from ombuds.llm.common import free_name, table, written
 from ombuds.llm.queries import QUALITY, TOKENIZER, quality_weights
 
 
@@ -22,8 +22,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     It learns from the labelled documents of ``docs``. Null and empty texts are scored like any other.
     """
     weights = quality_weights(docs, table(spark, sf_dir, "labels"))
-    scored = line_crf.score(docs, weights, out="__quality")
-    return scored.where(F.col("__quality") >= QUALITY).select(*(F.col(f"`{name}`") for name in docs.columns))
+    score = free_name(docs, "__quality")
+    scored = line_crf.score(docs, weights, out=score)
+    return scored.where(F.col(score) >= QUALITY).select(*(F.col(f"`{name}`") for name in docs.columns))
 
 
 def _filled(text: str) -> Column:
@@ -36,8 +37,9 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str, borders: bool = Fal
 
     A document of which nothing is left goes, as all it had is in others. One that was empty before stays.
     """
-    filled = docs.withColumn("__filled", F.coalesce(_filled("text"), F.lit(False)))
-    cut = line_chunks.dedup_lines(filled, borders=borders).where(~F.col("__filled") | _filled("text")).drop("__filled")
+    was = free_name(docs, "__filled")
+    filled = docs.withColumn(was, F.coalesce(_filled("text"), F.lit(False)))
+    cut = line_chunks.dedup_lines(filled, borders=borders).where(~F.col(was) | _filled("text")).drop(was)
     return cut.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else cut
 
 
