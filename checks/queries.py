@@ -733,6 +733,19 @@ def load_metrics(spark, sf_dir):
     )
 
 
+@query
+def reconcile_layers(spark, sf_dir):
+    """Rows per layer, as told by the writes themselves: web complaints came in two loads, customers were refreshed twice,
+    and the marts were built twice."""
+    house = _loaded_house(spark, sf_dir)
+    pipeline.load_static(house, CUSTOMERS, SECOND_RUN)
+    pipeline.build_marts(house, AS_OF)
+    _write_landed_web(_since(adapters.web_complaints(spark, sf_dir), SPLIT), house.landed, "2025-11-21")
+    pipeline.load_daily(house, WEB_COMPLAINTS, SECOND_RUN)
+    pipeline.build_marts(house, AS_OF)
+    return pipeline.reconciled(house)
+
+
 # Data quality
 
 

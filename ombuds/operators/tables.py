@@ -22,7 +22,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,6 +41,7 @@ _POINTER = T.StructType(
         T.StructField("live", T.BooleanType()),
         T.StructField("buckets", T.IntegerType()),
         T.StructField("parts", T.IntegerType()),
+        T.StructField("rows", T.LongType()),
     ]
 )
 _KEYS = T.StructType([*_PLACE, T.StructField("part", T.IntegerType()), T.StructField("bits", T.BinaryType())])
@@ -119,6 +120,21 @@ class VersionedTable:
         """Number of the last write; 0 before the first."""
         return self._live()[0]
 
+    def counts(self) -> DataFrame:
+        """``version, rows``: how many rows the table had after each write. Told by the pointer, where every write leaves
+        the rows of its folders, so no data is read. NULL from a write on whose rows weren't counted."""
+        if not path_exists(self.spark, f"{self.root}/pointer"):
+            return self.spark.createDataFrame([], f"{VERSION} long, rows long")
+        # A folder is written once, and made live or retired by later writes without being counted again.
+        counted = F.max("rows").over(Window.partitionBy(VERSION, BUCKET))
+        change = F.when(F.col("live"), F.col("counted")).otherwise(-F.col("counted"))
+        per_write = self._pointer().withColumn("counted", counted).groupBy("written_by")
+        per_write = per_write.agg(F.sum(change).alias("rows"), F.count_if(F.col("counted").isNull()).alias("unknown"))
+        # A row per write by now.
+        so_far = Window.orderBy("written_by").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        known = F.sum("unknown").over(so_far) == 0
+        return per_write.select(F.col("written_by").alias(VERSION), F.when(known, F.sum("rows").over(so_far)).alias("rows"))
+
     def _pointer(self) -> DataFrame:
         return self.spark.read.schema(_POINTER).parquet(f"{self.root}/pointer")
 
@@ -126,8 +142,8 @@ class VersionedTable:
         """Make the state after write ``to`` the current one again, as a write that moves no data."""
         last, live, _ = self._live()
         _, wanted, parts = self._live(to)
-        back = [(last + 1, *folder, True, self.buckets, parts.get(folder)) for folder in wanted if folder not in live]
-        gone = [(last + 1, *folder, False, self.buckets, None) for folder in live if folder not in wanted]
+        back = [(last + 1, *folder, True, self.buckets, parts.get(folder), None) for folder in wanted if folder not in live]
+        gone = [(last + 1, *folder, False, self.buckets, None, None) for folder in live if folder not in wanted]
         return self._point(last + 1, back + gone)
 
     def _live(self, at: int | None = None) -> tuple[int, list[Folder], dict[Folder, int]]:
@@ -192,7 +208,7 @@ class VersionedTable:
             keys = spread_keys(source.select(self.key).where(F.col(self.key).isNotNull()), size)
             hit = self._folders_with(keys, near)
         merged = upsert(self._rows(hit), source, self.key, update, size, unique_target=True)
-        done = self._publish(merged, last + 1, retired=hit, filled=touched)
+        done = self._publish(merged, last + 1, retired=hit)
         remove_path(self.spark, path)
         return done
 
@@ -259,7 +275,6 @@ class VersionedTable:
         df: DataFrame,
         version: int,
         retired: list[Folder],
-        filled: set[int] | None = None,
         check: Check | None = None,
     ) -> int:
         out, path = df.select(*self.schema.fieldNames()), f"{self.root}/data/{VERSION}={version}"
@@ -269,7 +284,6 @@ class VersionedTable:
         if self.buckets == 1:
             writer = (out.sortWithinPartitions(*day) if day else out).write
             path_written = f"{path}/{BUCKET}=0"
-            filled = {0}
         else:
             # Rebalance keeps a bucket in few files, yet splits one that is too large for a task.
             out = out.withColumn(BUCKET, self._bucket_of()).hint("rebalance", BUCKET)
@@ -279,14 +293,14 @@ class VersionedTable:
             # Sorted, and cut: each file holds few days, however the rows came to its task.
             writer = writer.option("maxRecordsPerFile", self.file_rows)
         writer.mode("overwrite").parquet(path_written)
-        if self.buckets > 1:
-            filled = filled or self._filled(path)
+        total = seen.get["rows"]
+        filled = {0: total} if self.buckets == 1 else self._filled(path)
         written = [(version, bucket) for bucket in sorted(filled)]
         if check is not None:
             check(self._rows(written))
-        parts = self._index(version, path, seen.get["rows"] // max(1, len(filled)) if written else 0)
-        changes = [(version, *folder, True, self.buckets, parts) for folder in written]
-        changes += [(version, *folder, False, self.buckets, None) for folder in retired]
+        parts = self._index(version, path, total // max(1, len(filled)) if written else 0)
+        changes = [(version, *folder, True, self.buckets, parts, filled[folder[1]]) for folder in written]
+        changes += [(version, *folder, False, self.buckets, None, None) for folder in retired]
         return self._point(version, changes)
 
     def _point(self, version: int, changes: list[tuple]) -> int:
@@ -313,10 +327,11 @@ class VersionedTable:
         bits.write.mode("overwrite").parquet(f"{self.root}/keys/{VERSION}={version}")
         return parts
 
-    def _filled(self, path: str) -> set[int]:
+    def _filled(self, path: str) -> dict[int, int]:
+        """The rows of each bucket that a write filled. No column is read, so these are the counts of the files' footers."""
         schema = T.StructType([*self.schema.fields, T.StructField(BUCKET, T.IntegerType())])
-        rows = self.spark.read.schema(schema).parquet(path).select(BUCKET).distinct().collect()
-        return {row[BUCKET] for row in rows}
+        rows = self.spark.read.schema(schema).parquet(path).groupBy(BUCKET).agg(F.count(F.lit(1)).alias("rows")).collect()
+        return {row[BUCKET]: row["rows"] for row in rows}
 
     def expire(self, keep: int = 1) -> list[str]:
         """Delete folders retired before the last ``keep`` writes. Returns what was deleted."""

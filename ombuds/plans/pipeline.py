@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from ombuds.session import path_exists, remove_path, scratch
 from ombuds.sources.landing import utc_now
 from ombuds.sources.ledger import Ledger
 from ombuds.sources.paths import RAW_FOLDERS
-from ombuds.sources.stage import empty_files, list_files, stage_files
+from ombuds.sources.stage import Staged, empty_files, list_files, stage_files
 
 # The pipeline merges calls on their own id: the row number of a daily file restarts every day.
 MERGE_KEYS = {"call_center_logs": "call_id"}
@@ -93,7 +94,8 @@ def load_static(
     if rejected and not partial:
         return Load(0, rejected)
     stamped = fill_audit(staged.rows, run_time or utc_now())
-    warehouse.raw(table.name).replace(stamped, check=require_rows)
+    version = warehouse.raw(table.name).replace(stamped, check=require_rows)
+    record_load(warehouse, table, version, staged)
     staged.discard()
     return Load(len(paths) - len(staged.rejected), rejected)
 
@@ -120,7 +122,8 @@ def load_daily(warehouse: Warehouse, table: RawTable, run_time: dt.datetime | No
     if len(staged.rejected) < len(paths):
         target = warehouse.raw(table.name)
         update = table.update if target.key == table.merge_key else _without_key(table, target.key)
-        target.merge(fill_audit(staged.rows, run_time, only_missing=True), update)
+        version = target.merge(fill_audit(staged.rows, run_time, only_missing=True), update)
+        record_load(warehouse, table, version, staged)
         left_out = spark.createDataFrame([(path,) for path in staged.rejected], "path string")
         ledger.record(files.join(left_out, "path", "left_anti"), run_time)
     staged.discard()
@@ -128,6 +131,54 @@ def load_daily(warehouse: Warehouse, table: RawTable, run_time: dt.datetime | No
     return Load(len(paths) - len(staged.rejected), (*staged.rejected, *empty))
 
 
+_LOADS = T.StructType(
+    [
+        T.StructField("table", T.StringType()),
+        T.StructField("version", T.LongType()),
+        T.StructField("whole", T.BooleanType()),
+        T.StructField("rows", T.LongType()),
+    ]
+)
+
+
+def record_load(warehouse: Warehouse, table: RawTable, version: int, staged: Staged) -> None:
+    """Keep how many rows a load delivered, beside the version of the table that it made.
+
+    The staged rows were written a moment ago, so this reads the counts in their footers. A load that runs again after it
+    was lost delivers the same rows to the same table, and both are told.
+    """
+    row = (table.name, version, table.merge_key is None, staged.rows.count())
+    log = warehouse.spark.createDataFrame([row], _LOADS).coalesce(1)
+    log.write.mode("append").parquet(f"{warehouse.root}/loads")
+
+
+def reconciled(warehouse: Warehouse) -> DataFrame:
+    """``layer, table, rows``: rows delivered by loads, rows of the RAW tables, and rows of the marts of the last build.
+
+    All of it is told by what each write left about itself, and no layer is read. A full refresh replaces what earlier
+    ones delivered, daily loads add up.
+    """
+    spark, root = warehouse.spark, warehouse.root
+    if not path_exists(spark, f"{root}/loads"):
+        return spark.createDataFrame([], "layer string, `table` string, rows long")
+    loads = spark.read.schema(_LOADS).parquet(f"{root}/loads")
+    delivered = F.when(F.bool_or("whole"), F.max_by("rows", "version")).otherwise(F.sum("rows"))
+    layers = [loads.groupBy("table").agg(delivered.alias("rows")).select(F.lit("delivered").alias("layer"), "table", "rows")]
+    for name in RAW_TABLES:
+        now = warehouse.raw(name).counts().agg(F.max_by("rows", "version").alias("rows"), F.max("version").alias("version"))
+        now = now.where("version is not null")
+        layers.append(now.select(F.lit("raw").alias("layer"), F.lit(name).alias("table"), "rows"))
+    number = _last_build(warehouse)
+    if number is not None:
+        build = spark.read.schema(_BUILD).parquet(f"{root}/builds").where(F.col("build") == number)
+        counted = reduce(
+            DataFrame.unionByName, (table.counts().withColumn("mart", F.lit(name)) for name, (table, _) in _built(warehouse, number).items()),
+        )
+        found = build.join(counted, ["mart", "version"], "left")
+        layers.append(found.select(F.lit("mart").alias("layer"), F.col("mart").alias("table"), "rows"))
+    return reduce(DataFrame.unionByName, layers)
+
+
 def _without_key(table: RawTable, key: str) -> tuple[str, ...] | None:
     if table.update is None:
         return None
@@ -199,11 +250,16 @@ def read_marts(warehouse: Warehouse) -> dict[str, DataFrame]:
     number = _last_build(warehouse)
     if number is None:
         raise RuntimeError(f"{warehouse.root} has no complete build yet")
+    return {name: table.read(version) for name, (table, version) in _built(warehouse, number).items()}
+
+
+def _built(warehouse: Warehouse, number: int) -> dict[str, tuple[VersionedTable, int]]:
+    """The tables of a build, and which version of each it names."""
     builds = warehouse.spark.read.schema(_BUILD).parquet(f"{warehouse.root}/builds")
     found = {row.mart: row for row in builds.where(F.col("build") == number).collect()}
     schemas = {name: T.StructType.fromJson(json.loads(row["columns"])) for name, row in found.items()}
     tables = {name: warehouse.unified() if name == FACT else mart(warehouse, name, schemas[name]) for name in found}
-    return {name: table.read(found[name].version) for name, table in tables.items()}
+    return {name: (table, found[name].version) for name, table in tables.items()}
 
 
 def mart(warehouse: Warehouse, name: str, schema: T.StructType) -> VersionedTable:
