@@ -93,3 +93,32 @@ def test_footrule_by_inverted_files(nearest):
     near, _ = index.search(-1, vectors[0], orders[0], 40, 0.0, 10)
     bar = sorted(far)[9]
     assert set(near) == {i for i, f in enumerate(far) if f <= bar}
+
+
+def test_recall_of_full_files(spark):
+    """As the query ranks them, on uncorrelated vectors, the hardest ones."""
+    rng = np.random.default_rng(3)
+    rows = [(i, v) for i, v in enumerate(rng.normal(size=(24_000, 32)).astype(np.float32).tolist())]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    asked = vectors.where("vec_id % 400 = 0")
+    got, want = by_query(neighbours.search(vectors, asked)), plain(rows, {i for i, _ in rows if i % 400 == 0})
+    hits = sum(len({j for _, j in got[q]} & {j for _, j in want[q]}) for q in want)
+    assert hits / sum(map(len, want.values())) >= 0.9
+
+
+def test_splits_into_files_change_nothing(spark):
+    vectors = spark.read.parquet(f"{LARGER}/embeddings.parquet")
+    asked = vectors.where("vec_id % 100 = 0")
+
+    def found(parts):
+        return by_query(neighbours.search(vectors.repartition(parts), asked, least=1, block_rows=100, turn_rows=7))
+
+    assert found(1) == found(7)
+
+
+def test_a_common_vector_is_indexed_for_its_smallest_ids(spark):
+    rows = [(i, [1.0, 1.0]) for i in range(5000)] + [(9000 + i, [1.0, 1.0 + i]) for i in range(1, 40)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    asked = vectors.where("vec_id in (4, 4999, 9001)")
+    got, want = by_query(neighbours.search(vectors, asked)), plain(rows, {4, 4999, 9001})
+    assert {q: [j for _, j in got[q]] for q in got} == {q: [j for _, j in want[q]] for q in want}
