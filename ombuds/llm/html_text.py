@@ -5,7 +5,7 @@ a ratio of characters to tags. The ratios are smoothed with a Gaussian along the
 form the content clusters. The clusters select the regions of the page that are content: an element such as
 ``article`` or ``div`` whose lines are mostly in a cluster is taken with all its lines, so that a short paragraph
 between long ones stays. An ``article`` or ``main`` is taken so with the regions inside it, up to the next article, and
-decides nothing about what stands outside. What the markup itself declares to be no content (menus, forms, adverts, comments of readers
+decides nothing about what stands outside. The only article of a page is always taken. What the markup itself declares to be no content (menus, forms, adverts, comments of readers
 and the like) is never selected, though its lines count in the smoothing.
 """
 
@@ -50,6 +50,17 @@ SURE = set(
     "ad ads advert advertisement advertising adverts breadcrumb breadcrumbs complementary consent contentinfo cookie cookies"
     " gdpr masthead navbar pager pagination promo promoted sponsored toolbar".split()
 ) | {"comments", "commentlist", "disqus"}
+#: A class made of one of these, and of words for places on a page, is no subject either, if it is of a part of a page.
+SOLE = set(
+    "banner comment disclaimer disclaimers newsletter notice notices notification notifications popup recommended related"
+    " replies reply share sharing sidebar signup social sponsor sponsors subscribe subscription".split()
+)
+PLACES = set(
+    "area bar block box buttons card container footer inner item items left links list outer panel posts right section site"
+    " stories top wrap wrapper".split()
+)
+PARTS = set("article details div dl li ol section ul".split())
+ROLES = set("form menu menubar navigation search toolbar".split())
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 #: Stands for an article's own heading where it is inside one.
 HEADING = {"header", "heading", "headline"}
@@ -67,7 +78,7 @@ class Line:
     region: int
     apart: bool
     linked: int  # characters inside links
-    doubts: tuple[int, ...]  # the marked elements around it that the ratio or the links decide on
+    doubt: int  # the nearest marked element around it that the ratio or the links decide on, or -1
 
 
 @dataclass(slots=True)
@@ -75,7 +86,17 @@ class Open:
     tag: str
     region: int
     apart: str  # why the element is no content: "", "mark", "unseen" or "talk"
-    doubts: tuple[int, ...] = ()
+    doubt: int = -1
+
+
+def _alone(attrs: list[tuple[str, str | None]]) -> bool:
+    """Whether a class says by itself that a part is no content: ``social`` or ``social-links``, not ``social-history``."""
+    names = " ".join(value for name, value in attrs if name == "class" and value)
+    for token in names.split():
+        words = set(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower()))
+        if words & SOLE and words <= SOLE | PLACES | SURE:
+            return True
+    return False
 
 
 class Lines(HTMLParser):
@@ -87,19 +108,25 @@ class Lines(HTMLParser):
         self.parents = [-1]
         self.kinds = [""]
         self.open = [Open("", 0, "")]
+        #: Where in ``open`` each tag, the last region or list, and the last block stand, so that nothing is searched.
+        self.places: dict[str, list[int]] = defaultdict(list)
+        self.walls: list[int] = []
+        self.blocks: list[int] = []
+        self.doubts: list[int] = []  # the doubt around each
         self.pieces: list[str] = []
-        self.tags = self.linked = self.doubted = 0
+        self.tags = self.linked = 0
+        self.seen_article = False
 
     def flush(self) -> None:
         text = " ".join("".join(self.pieces).split())
         if text:
             top = self.open[-1]
-            self.lines.append(Line(text, self.tags, top.region, bool(top.apart), self.linked, top.doubts))
+            self.lines.append(Line(text, self.tags, top.region, bool(top.apart), self.linked, top.doubt))
             self.tags = 0
         self.pieces, self.linked = [], 0
 
     def inside_article(self) -> bool:
-        return any(o.tag in ("article", "main") for o in self.open)
+        return bool(self.places["article"] or self.places["main"])
 
     def why_apart(self, tag: str, attrs: list[tuple[str, str | None]]) -> str:
         if tag in UNSEEN:
@@ -138,7 +165,7 @@ class Lines(HTMLParser):
             return "talk"
         if tag not in BLOCK and tag not in ("span", "a", "b", "i", "em", "strong", "small", "ins"):
             return ""
-        if sure & SURE:
+        if sure & SURE or (tag in PARTS and _alone(attrs)) or _marks(attrs, ("role",)) & ROLES:
             return "mark"
         titled = said & HEADING and not said & MARKS - {"banner"}
         return "doubt" if tag in BLOCK and said & (MARKS | TALK) and not titled else ""
@@ -152,30 +179,45 @@ class Lines(HTMLParser):
         if tag in VOID:
             return
         if tag == "p" or tag == "li":
-            self.close_open(tag, until=REGION | {"ul", "ol"})
+            self.close_open(tag, until=self.walls)
         why = self.why_apart(tag, attrs)
-        if tag in ("article", "main") and not why and self.open[-1].apart == "mark" and "article" not in self.kinds:
+        if tag in ("article", "main") and not why and self.open[-1].apart == "mark" and not self.seen_article:
             # The page's article begins, so what was open before it had lost its end tag.
             while self.open[-1].apart:
-                self.open.pop()
+                self.cut(len(self.open) - 1)
         top = self.open[-1]
         region = top.region
         if tag in REGION:
             region = len(self.parents)
             self.parents.append(top.region)
-            self.kinds.append("article" if tag in ("article", "main") else tag)
-        doubts = top.doubts
+            self.kinds.append(tag)
+        self.seen_article = self.seen_article or tag in ("article", "main")
+        doubt = top.doubt
         if why == "doubt":
-            why, doubts, self.doubted = "", (*doubts, self.doubted), self.doubted + 1
-        self.open.append(Open(tag, region, top.apart or why, doubts))
-
-    def close_open(self, tag: str, until: set[str] = frozenset()) -> None:
-        for place in range(len(self.open) - 1, 0, -1):
-            if self.open[place].tag == tag:
-                del self.open[place:]
-                return
-            if self.open[place].tag in until:
-                return
+            self.doubts.append(doubt)
+            why, doubt = "", len(self.doubts) - 1
+        here = len(self.open)
+        self.places[tag].append(here)
+        if tag in REGION or tag in ("ul", "ol"):
+            self.walls.append(here)
+        if tag in BLOCK:
+            self.blocks.append(here)
+        self.open.append(Open(tag, region, top.apart or why, doubt))
+
+    def cut(self, place: int) -> None:
+        """Close the open elements from ``place`` on."""
+        for gone in self.open[place:]:
+            self.places[gone.tag].pop()
+        del self.open[place:]
+        for stack in (self.walls, self.blocks):
+            while stack and stack[-1] >= place:
+                stack.pop()
+
+    def close_open(self, tag: str, until: list[int]) -> None:
+        """Close the last open ``tag`` and what is inside it, unless the last of ``until`` is inside it too."""
+        found = self.places[tag]
+        if found and (not until or found[-1] >= until[-1]):
+            self.cut(found[-1])
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -185,12 +227,12 @@ class Lines(HTMLParser):
         if tag in BLOCK:
             self.flush()
         # An end tag of inline markup never closes a block around it.
-        self.close_open(tag, until=frozenset() if tag in BLOCK else BLOCK)
+        self.close_open(tag, until=[] if tag in BLOCK else self.blocks)
 
     def handle_data(self, data: str) -> None:
         if self.open[-1].apart != "unseen":
             self.pieces.append(data)
-            if any(o.tag == "a" for o in self.open):
+            if self.places["a"]:
                 self.linked += len(data)
 
 
@@ -220,16 +262,23 @@ def main_text(html: str | None) -> str:
     ratios = np.array([len(line.text) / max(1, line.tags) for line in lines])
     even = smoothed(ratios)
     # A marked element inside an article goes if it has little text for its tags, or mostly links.
-    size, tags, links = defaultdict(int), defaultdict(int), defaultdict(int)
+    size, tags, links = ([0] * len(page.doubts) for _ in range(3))
     for line in lines:
-        for doubt in line.doubts:
-            size[doubt] += len(line.text)
-            tags[doubt] += line.tags
-            links[doubt] += line.linked
+        if line.doubt >= 0:
+            size[line.doubt] += len(line.text)
+            tags[line.doubt] += line.tags
+            links[line.doubt] += line.linked
+    for inner in range(len(page.doubts) - 1, -1, -1):  # what is inside counts outside as well
+        outer = page.doubts[inner]
+        if outer >= 0:
+            size[outer], tags[outer], links[outer] = size[outer] + size[inner], tags[outer] + tags[inner], links[outer] + links[inner]
     bar = THRESHOLD * even.std()
-    none = {x for x in size if 2 * links[x] > size[x] or size[x] / max(1, tags[x]) < bar}
+    none: list[bool] = []
+    for x, outer in enumerate(page.doubts):
+        empty = 2 * links[x] > size[x] or (size[x] > 0 and size[x] / max(1, tags[x]) < bar)
+        none.append(empty or (outer >= 0 and none[outer]))
     for line in lines:
-        line.apart = line.apart or not none.isdisjoint(line.doubts)
+        line.apart = line.apart or (line.doubt >= 0 and none[line.doubt])
     if all(line.apart for line in lines):
         return ""
     # A line that is mostly links may stay beside text, but doesn't make a region content.
@@ -246,18 +295,24 @@ def main_text(html: str | None) -> str:
             chosen[line.region] += len(line.text) * bool(taken)
     regions = {region for region in inside if 2 * chosen[region] >= inside[region] and chosen[region]}
 
-    def article(region: int) -> int:
-        """The nearest article around, or -1."""
-        while region >= 0 and page.kinds[region] != "article":
-            region = page.parents[region]
-        return region
+    # The nearest article around each region, or -1. Regions come after those around them.
+    article = [-1]
+    for region in range(1, len(page.parents)):
+        own = page.kinds[region] in ("article", "main")
+        article.append(region if own else article[page.parents[region]])
 
     # An article that is mostly in a cluster is filled: its short regions stay beside the long ones.
     text, taken = defaultdict(int), defaultdict(int)
     for region in inside:
-        text[article(region)] += inside[region]
-        taken[article(region)] += chosen[region]
-    regions |= {r for r in inside if article(r) >= 0 and 2 * taken[article(r)] >= text[article(r)] and taken[article(r)]}
+        text[article[region]] += inside[region]
+        taken[article[region]] += chosen[region]
+    full = {x for x in text if x >= 0 and 2 * taken[x] >= text[x] and taken[x]}
+    for kind in ("article", "main"):
+        only = [x for x in text if x >= 0 and page.kinds[x] == kind]
+        if only:
+            full |= set(only) if len(only) == 1 else set()
+            break
+    regions |= {r for r in inside if article[r] in full}
     return " ".join(line.text for line in lines if not line.apart and line.region in regions)
 
 
