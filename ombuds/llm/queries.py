@@ -66,14 +66,13 @@ def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A row per sequence: where it is, and a digest of its record as read from the shards."""
+    """A row per sequence: where it is, and a digest of its record as read from that place of the shard's file."""
     out = scratch(spark, "shards")
     training_order.materialise(table(spark, sf_dir, "documents"), out, RANKS, PATTERN, END)
     place = (F.col("slot") % training_order.SHARD_SLOTS) * (2 * training_order.LENGTH)
-    found = training_order.shards(spark, out)
-    return found.select(
-        "doc_id", "seq_no", "slot", "shard", place.alias("offset"), "n_tokens", F.md5("record").alias("record_md5")
-    )
+    digests = training_order.records(spark, out).select("slot", F.md5("record").alias("record_md5"))
+    found = training_order.index(spark, out).join(digests, "slot")
+    return found.select("doc_id", "seq_no", "slot", "shard", place.alias("offset"), "n_tokens", "record_md5")
 
 
 def op8_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,8 +3,12 @@
 Texts become token ids, each text followed by the end token, cut into sequences of a fixed number of ids. A keyed
 Feistel network permutes the numbers of all sequences: it is a bijection on the next square of a power of two, and
 numbers that fall outside are sent through it again until they are inside (cycle walking), so every sequence gets a
-global slot of its own without any table. Ranges of slots are shards. All records have the same length, so a slot's
-shard and place are arithmetic, and training can be resumed at any slot by reading on from there.
+global slot of its own without any table. Ranges of slots are shards, and each is one plain file: its records in the
+order of slots, all of the same length, with nothing between them. So a slot's file and the place in it are arithmetic, and
+training is resumed at any slot by seeking there and reading on.
+
+Files are written by Spark's tasks and appear when their job commits, so a lost executor leaves no half shard. What a
+record is made of (document, number of its sequence, tokens) stands in a small table beside the shards.
 """
 
 from __future__ import annotations
@@ -18,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 import tiktoken
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ombuds.llm.common import discard, ready, written
@@ -101,15 +105,20 @@ def materialise(
 ) -> int:
     """Write all sequences of ``docs`` to shards under ``out`` and return how many there are.
 
-    ``out`` gets a folder ``shard=<n>`` per range of ``shard_slots`` slots, its rows in the order of ``slot``:
-    ``doc_id, seq_no, n_tokens, record``. A record has ``2 * length`` bytes: the ids as 16-bit numbers, then the end
-    token as padding. Null and empty texts are an end token alone; special strings in a text are ordinary text.
+    ``out/records`` gets a folder ``shard=<n>`` per range of ``shard_slots`` slots with one file: the record of slot ``s``
+    begins at byte ``s % shard_slots * 2 * length``. A record has ``2 * length`` bytes: the ids as 16-bit numbers, then
+    the end token as padding (behind the last record of a file the writer leaves a line feed). ``out/index`` has
+    ``slot, doc_id, seq_no, n_tokens`` likewise. A task holds one shard's records at a time, ``shard_slots * 2 * length``
+    bytes. Ids must be below 65536, or this fails. Null and empty texts are an end token alone; special strings in a text are ordinary text.
     Texts of any length are cut whole, repeated rows are each written, and a null id stays null. An empty table
     writes no shards. Sequences are numbered in the order of the rows read, so the same files, settings and key give
     the same slots.
     """
     spark = docs.sparkSession
     ready(spark)
+    most = max(encoding(path, pattern).max_token_value, end)
+    if most > np.iinfo(ID).max:
+        raise ValueError(f"ids up to {most} don't fit the {ID.itemsize} bytes of an id")
     plain = docs.select(F.col(f"`{id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     # Written once: a task that runs again cannot number its sequences anew.
     cut, cut_path = written(sequences(plain, path, pattern, end, length), "sequences")
@@ -134,22 +143,114 @@ def materialise(
     if total:
         schema = "shard long, slot long, doc_id long, seq_no int, n_tokens int, record binary"
         placed = cut.select("part", "place", "doc_id", "seq_no", "n_tokens", "ids").mapInArrow(place, schema)
-        # Slots are dense, so a shard is a range of known size and needs no sampling.
-        ranged = placed.repartitionById(-(-total // shard_slots), F.col("shard").cast("int"))
-        ranged.sortWithinPartitions("shard", "slot").write.option("compression", "zstd").partitionBy("shard").parquet(out)
+        # Both are made of the numbered sequences that are written above, so they agree whatever becomes of executors.
+        _write_files(_ranged(placed.select("shard", "slot", "record"), total, shard_slots), f"{out}/records")
+        index = _ranged(placed.drop("record"), total, shard_slots)
+        index.write.option("compression", "zstd").partitionBy("shard").parquet(f"{out}/index")
+        layout = spark.createDataFrame([(total, length, shard_slots)], LAYOUT)
+        layout.coalesce(1).write.json(f"{out}/layout")
     discard(spark, cut_path)
     return total
 
 
-SHARDS = "slot long, doc_id long, seq_no int, n_tokens int, record binary, shard long"
+LAYOUT = "total long, length int, shard_slots int"
+
+
+def _ranged(placed: DataFrame, total: int, shard_slots: int) -> DataFrame:
+    """A partition per shard, in the order of slots. Slots are dense, so a shard is a range of known size and needs no
+    sampling."""
+    return placed.repartitionById(-(-total // shard_slots), F.col("shard").cast("int")).sortWithinPartitions("shard", "slot")
+
+
+def _write_files(ranged: DataFrame, out: str) -> None:
+    """One file per shard, of its records in the order of slots."""
+
+    def join(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, records = None, []
+
+        def file() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int64()), pa.array([b"".join(records)], pa.binary())], ["shard", "body"])
+
+        for batch in batches:
+            for shard, record in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                if shard != now and records:
+                    yield file()
+                    records = []
+                now = shard
+                records.append(record)
+        if records:
+            yield file()
+
+    whole = ranged.mapInArrow(join, "shard long, body binary")
+    # A text's bytes are written as they are, so this writes plain files of bytes.
+    whole.select("shard", F.col("body").cast("string").alias("value")).write.partitionBy("shard").text(out)
+
+
+INDEX = "slot long, doc_id long, seq_no int, n_tokens int, shard long"
+
+
+def index(spark: SparkSession, out: str) -> DataFrame:
+    """``slot, doc_id, seq_no, n_tokens, shard``: what each record is made of."""
+    return spark.read.schema(INDEX).parquet(f"{out}/index")
+
+
+def layout(spark: SparkSession, out: str) -> Row:
+    """``total, length, shard_slots`` of what was written."""
+    return spark.read.schema(LAYOUT).json(f"{out}/layout").first()
+
+
+def records(spark: SparkSession, out: str, first: int | None = None, count: int = 0) -> DataFrame:
+    """``slot, shard, record``, cut out of the files at their places; with ``first`` only ``count`` slots from there on,
+    from the files that hold them."""
+    _, length, shard_slots = layout(spark, out)
+    stride = ID.itemsize * length
+    files = spark.read.format("binaryFile").load(f"{out}/records")
+    shard = F.col("shard").cast("long")
+    begin, end = F.lit(0), F.expr(f"int(length div {stride})")
+    if first is not None:
+        files = files.where(shard.between(first // shard_slots, (first + count - 1) // shard_slots))
+        begin = F.greatest(begin, F.lit(first) - shard * shard_slots)
+        end = F.least(end, F.lit(first + count) - shard * shard_slots)
+    places = F.when(begin < end, F.sequence(begin.cast("int"), (end - 1).cast("int")))
+
+    def record(n: Column) -> Column:
+        body = F.substring("content", n * stride + 1, F.lit(stride))
+        return F.struct((shard * shard_slots + n).alias("slot"), shard.alias("shard"), body.alias("record"))
+
+    return files.select(F.inline(F.transform(places, record)))
 
 
 def shards(spark: SparkSession, out: str) -> DataFrame:
-    return spark.read.schema(SHARDS).parquet(out)
+    """All records with what they are made of."""
+    return index(spark, out).join(records(spark, out), ["slot", "shard"])
+
+
+def resume(spark: SparkSession, out: str, slot: int, count: int, shard_slots: int | None = None) -> DataFrame:
+    """The ``count`` records from ``slot`` on, in order. Only their shards are read, and of these only the places of
+    the records become rows. ``shard_slots``, if given, must be what the shards were written with."""
+    if shard_slots not in (None, layout(spark, out).shard_slots):
+        raise ValueError(f"{out} wasn't written with {shard_slots} slots a shard")
+    return records(spark, out, slot, count).orderBy("slot")
 
 
-def resume(spark: SparkSession, out: str, slot: int, count: int, shard_slots: int = SHARD_SLOTS) -> DataFrame:
-    """The ``count`` records from ``slot`` on, in order. Only their shards are read."""
-    wanted = F.col("slot").between(slot, slot + count - 1)
-    reach = F.col("shard").between(slot // shard_slots, (slot + count - 1) // shard_slots)
-    return shards(spark, out).where(reach & wanted).orderBy("slot")
+def read_ids(spark: SparkSession, out: str, slot: int, count: int) -> np.ndarray:
+    """The ids of ``count`` records from ``slot`` on, a row each, for a trainer: a seek into each file that holds some of
+    them, and one read of their bytes. Fewer rows at the end of the order."""
+    _, length, shard_slots = layout(spark, out)
+    stride, found = ID.itemsize * length, []
+    jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while count > 0:
+        shard, place = divmod(slot, shard_slots)
+        wanted = min(count, shard_slots - place)
+        name = jvm.org.apache.hadoop.fs.Path(f"{out}/records/shard={shard}/part-*")
+        [*files] = name.getFileSystem(hadoop).globStatus(name) or []
+        if not files:
+            break
+        held = min(wanted, files[0].getLen() // stride - place)
+        if held > 0:
+            stream = name.getFileSystem(hadoop).open(files[0].getPath())
+            stream.seek(place * stride)
+            found.append(np.frombuffer(jvm.org.apache.commons.io.IOUtils.toByteArray(stream, held * stride), ID))
+            stream.close()
+        slot, count = slot + wanted, count - wanted
+    return np.concatenate(found).reshape(-1, length) if found else np.empty((0, length), ID)

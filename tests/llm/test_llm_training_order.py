@@ -72,3 +72,34 @@ def test_ids_lead_back_to_the_texts(spark, folder):
 
 def test_empty_table(spark, folder):
     assert training_order.materialise(no_docs(spark), f"{folder}/none", RANKS, PATTERN, END) == 0
+
+
+def test_records_lie_at_their_places(spark, tmp_path):
+    out = f"file://{tmp_path}/out"
+    total = training_order.materialise(odd_docs(spark).repartition(3), out, RANKS, PATTERN, END, length=64, shard_slots=50)
+    by_slot = {r.slot: bytes(r.record) for r in training_order.shards(spark, out).collect()}
+    files = {int(file.parent.name.removeprefix("shard=")): file for file in tmp_path.glob("out/records/shard=*/part-*")}
+    assert sorted(files) == list(range(-(-total // 50)))
+    for slot in range(total):
+        with files[slot // 50].open("rb") as file:
+            file.seek(slot % 50 * 128)
+            assert file.read(128) == by_slot[slot]
+    for first, count in ((45, 60), (0, 1), (total - 3, 10), (total, 5), (99, 2)):
+        ids = training_order.read_ids(spark, out, first, count)
+        wanted = [by_slot[slot] for slot in range(first, min(total, first + count))]
+        assert [row.tobytes() for row in ids] == wanted
+        assert [bytes(r.record) for r in training_order.resume(spark, out, first, count).collect()] == wanted
+
+
+def test_bytes_of_all_values_come_back(spark, folder):
+    text = "".join(map(chr, range(1, 3000)))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    training_order.materialise(docs, f"{folder}/out", RANKS, PATTERN, END, length=8)
+    ids = training_order.read_ids(spark, f"{folder}/out", 0, 1 << 20)
+    want = sorted(x for _, _, _, x in records([(1, text)], 8))
+    assert sorted(row.tobytes() for row in ids) == want
+
+
+def test_ids_that_do_not_fit(spark, folder):
+    with pytest.raises(ValueError, match="don't fit"):
+        training_order.materialise(odd_docs(spark), f"{folder}/out", RANKS, PATTERN, 70_000)
