@@ -22,10 +22,10 @@ import numpy as np
 import pyarrow as pa
 import tiktoken
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from ombuds.llm.common import discard, ready, written
+from ombuds.llm.common import BATCH_ROWS, discard, ready, written
 
 LENGTH, SHARD_SLOTS, ROUNDS = 512, 16_384, 6
 ID = np.dtype("<u2")
@@ -202,22 +202,26 @@ def layout(spark: SparkSession, out: str) -> Row:
 def records(spark: SparkSession, out: str, first: int | None = None, count: int = 0) -> DataFrame:
     """``slot, shard, record``, cut out of the files at their places; with ``first`` only ``count`` slots from there on,
     from the files that hold them."""
-    _, length, shard_slots = layout(spark, out)
+    total, length, shard_slots = layout(spark, out)
     stride = ID.itemsize * length
     files = spark.read.format("binaryFile").load(f"{out}/records")
-    shard = F.col("shard").cast("long")
-    begin, end = F.lit(0), F.expr(f"int(length div {stride})")
+    low, high = (0, total) if first is None else (first, min(total, first + count))
     if first is not None:
-        files = files.where(shard.between(first // shard_slots, (first + count - 1) // shard_slots))
-        begin = F.greatest(begin, F.lit(first) - shard * shard_slots)
-        end = F.least(end, F.lit(first + count) - shard * shard_slots)
-    places = F.when(begin < end, F.sequence(begin.cast("int"), (end - 1).cast("int")))
-
-    def record(n: Column) -> Column:
-        body = F.substring("content", n * stride + 1, F.lit(stride))
-        return F.struct((shard * shard_slots + n).alias("slot"), shard.alias("shard"), body.alias("record"))
+        files = files.where(F.col("shard").cast("long").between(low // shard_slots, max(low, high - 1) // shard_slots))
 
-    return files.select(F.inline(F.transform(places, record)))
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                begin, end = max(low, shard * shard_slots), min(high, (shard + 1) * shard_slots)
+                file = body.as_buffer()
+                for at in range(begin, end, BATCH_ROWS):
+                    slots = np.arange(at, min(end, at + BATCH_ROWS))
+                    places = file.slice((at - shard * shard_slots) * stride, len(slots) * stride)
+                    held = pa.FixedSizeBinaryArray.from_buffers(pa.binary(stride), len(slots), [None, places])
+                    columns = [pa.array(slots), pa.array(np.full(len(slots), shard)), held.cast(pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, ["slot", "shard", "record"])
+
+    return files.select(F.col("shard").cast("long"), "content").mapInArrow(cut, "slot long, shard long, record binary")
 
 
 def shards(spark: SparkSession, out: str) -> DataFrame:
