@@ -11,8 +11,12 @@ The model is as large as the corpus makes it and is never in one place. Texts ar
 each of its distinct strings of ``DEPTH + 1`` bytes once, with counts if it is for training. The strings are dealt by
 the last ``ROOT`` bytes of their contexts, so every part holds whole subtrees, weighs them from the bottom up and finds
 the probabilities of all strings reported. Above the subtrees there are at most 65,535 nodes; their counts and block
-probabilities are added up and sent to all tasks. The answers go back to the blocks that asked. Words are counted and
-looked up in the same way.
+probabilities are added up and sent to all tasks. Words are counted and looked up in the same way.
+
+Blocks and parts both grow with the corpus, so no block reports to all parts. Reports go through levels: at each, up to
+``MERGED`` senders are added up to one bundle for a share of the parts, which deals its strings on to at most ``FAN``
+finer shares. The answers go back the same way, each to those that asked and only for the strings they asked for. So
+a level moves each sender's strings once, and there is a level more for each ``FAN`` times as much text.
 """
 
 from __future__ import annotations
@@ -35,8 +39,8 @@ from ombuds.session import conf
 
 DEPTH, ROOT = 5, 2
 BLOCK_BYTES = 6 << 20
-#: Bytes of text for each part of the model, and reports that one task merges.
-PART_BYTES, MERGED = 32 << 20, 64
+#: Bytes of text for each part of the model, senders that are merged to one, and shares that one deals to.
+PART_BYTES, MERGED, FAN = 32 << 20, 64, 64
 SMOOTHING = 0.1
 END = b"\n"
 
@@ -116,72 +120,110 @@ def _word_part(words: list[bytes], parts: int) -> np.ndarray:
     return np.fromiter((zlib.crc32(word) % parts for word in words), np.int64, len(words))
 
 
-def reports(blocks: DataFrame, parts: int) -> DataFrame:
-    """``part, block, keys, counts`` for strings (parts from 0) and words (parts from ``parts``)."""
+def levels(parts: int, n_blocks: int) -> list[int]:
+    """For each level how many parts make one of its shares. The last has a share for each part and one bundle."""
+    share, bundles, found = 1, _bundles(n_blocks), []
+    while share * FAN < parts:
+        share *= FAN
+    while not found or found[-1] > 1 or bundles > 1:
+        if found:
+            share, bundles = max(1, share // FAN), _bundles(bundles)
+        found.append(share)
+    return found
+
+
+def _bundles(senders: int) -> int:
+    return max(1, -(-senders // MERGED))
+
+
+def _words(data: bytes) -> list[bytes]:
+    return zstandard.decompress(data).split(b" ")
+
+
+def _dealt(words: bool, keys, counts: np.ndarray, parts: int, share: int) -> Iterator[tuple[int, bytes, bytes]]:
+    """Number, keys and counts of each share, in the order of ``keys`` (strings as numbers, or a list of words)."""
+    owner = (_word_part if words else _part)(keys, parts) // share
+    for number in np.unique(owner).tolist():
+        mine = np.flatnonzero(owner == number)
+        if words:
+            packed_keys = zstandard.compress(b" ".join(map(keys.__getitem__, mine.tolist())), 1)
+        else:
+            packed_keys = squeezed(keys[mine])
+        yield number, packed_keys, squeezed(counts[mine])
+
+
+def reports(blocks: DataFrame, parts: int, share: int, bundles: int) -> DataFrame:
+    """``words, part, block, keys, counts, bundle``: what blocks report of strings and words to the first level."""
 
     def report(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, held, body in zip(*(batch.column(x).to_pylist() for x in ("block", "held", "body")), strict=True):
-                rows = []
                 body = zstandard.decompress(body)
                 found, counts = np.unique(strings(body), return_counts=True)
-                owner, counts = _part(found, parts), counts.astype(np.uint32) * (not held)
-                for part in np.unique(owner).tolist():
-                    mine = owner == part
-                    rows.append((part, squeezed(found[mine]), squeezed(counts[mine])))
                 seen = Counter(body.split())
-                words, counts = list(seen), np.fromiter(seen.values(), np.uint32, len(seen)) * (not held)
-                owner = _word_part(words, parts)
-                for part in np.unique(owner).tolist():
-                    mine = np.flatnonzero(owner == part)
-                    keys = zstandard.compress(b" ".join(map(words.__getitem__, mine.tolist())), 1)
-                    rows.append((parts + part, keys, squeezed(counts[mine].astype(np.uint32))))
-                yield pa.RecordBatch.from_arrays(
-                    [
+                sizes = np.fromiter(seen.values(), np.uint32, len(seen))
+                for words, keys, n in ((False, found, counts.astype(np.uint32)), (True, list(seen), sizes)):
+                    rows = list(_dealt(words, keys, n * np.uint32(not held), parts, share))
+                    columns = [
+                        pa.array([words] * len(rows), pa.bool_()),
                         pa.array([x for x, _, _ in rows], pa.int32()),
                         pa.array([block] * len(rows), pa.string()),
                         pa.array([x for _, x, _ in rows], pa.binary()),
                         pa.array([x for _, _, x in rows], pa.binary()),
-                    ],
-                    ["part", "block", "keys", "counts"],
-                )
-
-    return blocks.select("block", "held", "body").mapInArrow(report, "part int, block string, keys binary, counts binary")
-
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, ["words", "part", "block", "keys", "counts"])
 
-def _words(data: bytes) -> list[bytes]:
-    return zstandard.decompress(data).split(b" ")
+    found = blocks.select("block", "held", "body").mapInArrow(
+        report, "words boolean, part int, block string, keys binary, counts binary"
+    )
+    return found.withColumn("bundle", F.pmod(F.xxhash64("block"), F.lit(bundles)).cast("long"))
 
 
-def _added(rows: pd.DataFrame, parts: int) -> tuple[bytes, bytes]:
-    """Keys and added counts of several reports of a part."""
-    kind = np.int64 if "bundle" in rows else np.uint32
+def _added(rows: pd.DataFrame, kind: type) -> tuple:
+    """Keys and added counts of several reports."""
     given = [spread(x, kind) for x in rows["counts"]]
-    if rows.part.iloc[0] < parts:
+    if not rows.words.iloc[0]:
         keys = np.concatenate([spread(x, np.int64) for x in rows["keys"]])
         found, place = np.unique(keys, return_inverse=True)
-        total = np.bincount(place, weights=np.concatenate(given), minlength=len(found))
-        return squeezed(found), squeezed(total.astype(np.int64))
+        return found, np.bincount(place, weights=np.concatenate(given), minlength=len(found)).astype(np.int64)
     sums: dict[bytes, int] = {}
     for keys, counts in zip(rows["keys"], given, strict=True):
         for word, n in zip(_words(keys), counts.tolist(), strict=True):
             sums[word] = sums.get(word, 0) + n
-    return zstandard.compress(b" ".join(sums), 1), squeezed(np.fromiter(sums.values(), np.int64, len(sums)))
+    return list(sums), np.fromiter(sums.values(), np.int64, len(sums))
 
 
-def merged(asked: DataFrame, parts: int, groups: int) -> DataFrame:
-    """``part, keys, counts``: one row per part. Reports are merged in up to ``groups`` bundles first."""
+def merged(asked: DataFrame, parts: int, share: int, kind: type) -> DataFrame:
+    """What each bundle of a level reports to the next, whose shares are of ``share`` parts: ``words, part, bundle,
+    from_part, from_bundle, keys, counts``. ``kind`` is that of the counts given."""
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
-        keys, counts = _added(rows, parts)
-        return pd.DataFrame({"part": [rows.part.iloc[0]], "keys": [keys], "counts": [counts]})
+        words, part, bundle = bool(rows.words.iloc[0]), int(rows.part.iloc[0]), int(rows.bundle.iloc[0])
+        found = list(_dealt(words, *_added(rows, kind), parts, share))
+        return pd.DataFrame(
+            {
+                "words": words,
+                "part": [x for x, _, _ in found],
+                "bundle": bundle // MERGED,
+                "from_part": part,
+                "from_bundle": bundle,
+                "keys": [x for _, x, _ in found],
+                "counts": [x for _, _, x in found],
+            }
+        )
 
-    schema = "part int, keys binary, counts binary"
-    if groups == 1:
-        return asked.select("part", "keys", "counts").groupBy("part").applyInPandas(add, schema)
-    bundle = F.pmod(F.xxhash64("block"), F.lit(groups))
-    first = asked.select("part", "keys", "counts", bundle.alias("of")).groupBy("part", "of").applyInPandas(add, schema)
-    return first.withColumn("bundle", F.lit(0)).groupBy("part").applyInPandas(add, schema)
+    schema = "words boolean, part int, bundle long, from_part int, from_bundle long, keys binary, counts binary"
+    given = asked.select("words", "part", "bundle", "keys", "counts")
+    return given.groupBy("words", "part", "bundle").applyInPandas(add, schema)
+
+
+def through_levels(blocks: DataFrame, parts: int, n_blocks: int) -> list[tuple[DataFrame, str]]:
+    """What is reported to each level, written, and last the counts of each part."""
+    shares = levels(parts, n_blocks)
+    found = [written(reports(blocks, parts, shares[0], _bundles(n_blocks)), "reports")]
+    for place, share in enumerate([*shares[1:], 1]):
+        found.append(written(merged(found[-1][0], parts, share, np.int64 if place else np.uint32), "strings"))
+    return found
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -302,7 +344,7 @@ class Top:
         return total
 
 
-def above(known: DataFrame, parts: int) -> DataFrame:
+def above(known: DataFrame) -> DataFrame:
     """``bit, key, zeros, ones, below``: what the nodes of depth ``ROOT - 1`` get from the subtrees of each part."""
 
     def build(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -314,63 +356,78 @@ def above(known: DataFrame, parts: int) -> DataFrame:
                     columns += [pa.array(values) for values in table[1:]]
                     yield pa.RecordBatch.from_arrays(columns, ["bit", "key", "zeros", "ones", "below"])
 
-    rows = known.where(F.col("part") < parts).select("keys", "counts")
+    rows = known.where(~F.col("words")).select("keys", "counts")
     return rows.mapInArrow(build, "bit int, key long, zeros double, ones double, below double")
 
 
-def answers(asked: DataFrame, known: DataFrame, parts: int, groups: int, top: Broadcast) -> DataFrame:
-    """``block, part, values``: for each report its strings' logarithms or its words' counts, in its order."""
+def finished(known: DataFrame, top: Broadcast) -> DataFrame:
+    """``words, part, bundle, keys, values``: the logarithms of each part's strings, or the counts of its words."""
 
     def finish(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, keys, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if part < parts:
+            for words, part, keys, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if not words:
                     found = spread(keys, np.int64)
                     chances, _ = subtrees(found, spread(counts, np.int64))
-                    counts = squeezed(top.value.finish(found, chances))
-                columns = [pa.array([part], pa.int32()), pa.array([keys], pa.binary()), pa.array([counts], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["part", "all", "values"])
+                    # Single precision holds a byte's logarithm to seven digits, a text's sum to more.
+                    counts = squeezed(top.value.finish(found, chances).astype(np.float32))
+                columns = [pa.array([words], pa.bool_()), pa.array([part], pa.int32()), pa.array([0], pa.int64())]
+                columns += [pa.array([keys], pa.binary()), pa.array([counts], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["words", "part", "bundle", "keys", "values"])
+
+    schema = "words boolean, part int, bundle long, keys binary, values binary"
+    return known.select("words", "part", "keys", "counts").mapInArrow(finish, schema)
 
-    finished = known.select("part", "keys", "counts").mapInArrow(finish, "part int, all binary, values binary")
-    bundles = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"), F.lit(1).cast("long")))
-    held = finished.select("*", bundles.alias("bundle"))
-    bundle = F.pmod(F.xxhash64("block"), F.lit(groups))
-    questions = asked.select("part", bundle.alias("bundle"), "block", "keys").groupBy("part", "bundle")
+
+def answers(asked: DataFrame, solved: DataFrame) -> DataFrame:
+    """The values of each report to a level, in its order, from those of the level's shares: ``words, part, block,
+    values`` for blocks, else ``words, part, bundle, keys, values`` as the level before has them."""
+    of_blocks = "block" in asked.columns
+    names = {"part": "part", "block": "block"} if of_blocks else {"part": "from_part", "bundle": "from_bundle", "keys": "keys"}
+    needed = list(dict.fromkeys(["words", "part", "bundle", "keys", *names.values()]))
 
     def answer(rows: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
         given: list[bytes] = []
-        if len(rows):
-            everything, values = table["all"].iloc[0], table["values"].iloc[0]
-            if table.part.iloc[0] < parts:
-                everything, values = spread(everything, np.int64), spread(values, np.float64).astype(np.float32)
-                # Single precision holds a byte's logarithm to seven digits, a text's sum to more.
-                for asks in rows["keys"]:
-                    given.append(squeezed(values[np.searchsorted(everything, spread(asks, np.int64))]))
-            else:
-                counts = dict(zip(_words(everything), spread(values, np.int64).tolist(), strict=True))
-                for asks in rows["keys"]:
-                    words = _words(asks)
-                    given.append(squeezed(np.fromiter(map(counts.__getitem__, words), np.int64, len(words))))
+        if len(rows) and rows.words.iloc[0]:
+            counts: dict[bytes, int] = {}
+            for keys, values in zip(table["keys"], table["values"], strict=True):
+                counts.update(zip(_words(keys), spread(values, np.int64).tolist(), strict=True))
+            for asks in rows["keys"]:
+                words = _words(asks)
+                given.append(squeezed(np.fromiter(map(counts.__getitem__, words), np.int64, len(words))))
+        elif len(rows):
+            everything = np.concatenate([spread(x, np.int64) for x in table["keys"]])
+            values = np.concatenate([spread(x, np.float32) for x in table["values"]])
+            if len(table) > 1:
+                order = np.argsort(everything)
+                everything, values = everything[order], values[order]
+            for asks in rows["keys"]:
+                given.append(squeezed(values[np.searchsorted(everything, spread(asks, np.int64))]))
         # An object column is one Arrow array, also where the rows came in several batches.
-        block = pd.Series(rows.block.tolist(), dtype=object)
-        return pd.DataFrame({"block": block, "part": rows.part.tolist(), "values": given})
+        passed = {name: pd.Series(rows[source].tolist(), dtype=object) for name, source in names.items()}
+        return pd.DataFrame({"words": pd.Series(rows.words.tolist(), dtype=object), **passed, "values": given})
 
-    return questions.cogroup(held.groupBy("part", "bundle")).applyInPandas(answer, "block string, part int, values binary")
+    kinds = {"part": "int", "block": "string", "bundle": "long", "keys": "binary"}
+    schema = ", ".join(["words boolean", *(f"{name} {kinds[name]}" for name in names), "values binary"])
+    by = ["words", "part", "bundle"]
+    return asked.select(*needed).groupBy(*by).cogroup(solved.groupBy(*by)).applyInPandas(answer, schema)
 
 
-def scored(blocks: DataFrame, given: DataFrame, parts: int, total: int, distinct: int, ends: int) -> DataFrame:
+def scored(
+    blocks: DataFrame, given: DataFrame, parts: int, share: int, total: int, distinct: int, ends: int
+) -> DataFrame:
     """The scores of the texts of each block."""
     floor = np.log10(total + SMOOTHING * (distinct + 1)) if total else np.log10(SMOOTHING)
 
     def score(rows: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
         body, ids, held = zstandard.decompress(rows.body.iloc[0]), rows.ids.iloc[0], bool(rows.held.iloc[0])
-        by_part = dict(zip(table.part, table["values"], strict=True))
+        by_part = dict(zip(zip(table.words, table.part, strict=True), table["values"], strict=True))
         place, found = pd.factorize(strings(body))
         order = np.argsort(found)
         found, logs = found[order], np.zeros(len(found))
-        owner, sums = _part(found, parts), np.zeros(len(found))
+        owner, sums = _part(found, parts) // share, np.zeros(len(found))
         for part in np.unique(owner).tolist():
-            sums[owner == part] = spread(by_part[part], np.float32)
+            sums[owner == part] = spread(by_part[False, part], np.float32)
         logs[order] = sums
         values = np.frombuffer(body, np.uint8)
         last = np.flatnonzero(values == END[0])
@@ -380,9 +437,9 @@ def scored(blocks: DataFrame, given: DataFrame, parts: int, total: int, distinct
         words = body.split()
         number: dict[bytes, int] = {}
         each = np.fromiter((number.setdefault(word, len(number)) for word in words), np.int64, len(words))
-        owner, counts = _word_part(list(number), parts), np.zeros(len(number), np.int64)
+        owner, counts = _word_part(list(number), parts) // share, np.zeros(len(number), np.int64)
         for part in np.unique(owner).tolist():
-            counts[owner == part] = spread(by_part[parts + part], np.int64)
+            counts[owner == part] = spread(by_part[True, part], np.int64)
         each = counts[each]
         # Running sums, so that texts without words need no case of their own.
         sizes = np.diff(np.concatenate([[0], np.cumsum(values == 32)[last]]))
@@ -444,18 +501,20 @@ def _score_texts(docs, held_out, id, text, block_bytes, part_bytes) -> DataFrame
         blocks, at_blocks = written(packed(plain, block_bytes), "text-blocks")
     size = blocks.agg(F.sum("n_bytes"), F.count("*"), F.sum(F.when(~F.col("held"), F.size("ids")))).first()
     n_bytes, n_blocks, ends = (x or 0 for x in size)
-    parts, groups = max(1, -(-n_bytes // part_bytes)), max(1, -(-n_blocks // MERGED))
-    asked, at_asked = written(reports(blocks, parts), "reports")
-    known, at_known = written(merged(asked, parts, groups), "strings")
+    parts = max(1, -(-n_bytes // part_bytes))
+    *asked, (known, at_known) = through_levels(blocks, parts, n_blocks)
     # 255 nodes for each byte before, and the bits before: 65,535 at most.
-    sums = above(known, parts).groupBy("bit", "key")
+    sums = above(known).groupBy("bit", "key")
     top = sums.agg(*(F.sum(x).alias(x) for x in ("zeros", "ones", "below"))).collect()
     top = spark.sparkContext.broadcast(Top(row.asDict() for row in top))
-    words, distinct = _word_totals(known.where(F.col("part") >= parts))
+    words, distinct = _word_totals(known.where("words"))
     total, distinct = words + ends, distinct + (ends > 0)
-    given = answers(asked, known, parts, groups, top)
-    found, _ = written(scored(blocks, given, parts, total, distinct, ends), "scores")
-    discard(spark, at_blocks, at_asked, at_known)
+    given = finished(known, top)
+    for level, _ in reversed(asked):
+        given = answers(level, given)
+    share = levels(parts, n_blocks)[0]
+    found, _ = written(scored(blocks, given, parts, share, total, distinct, ends), "scores")
+    discard(spark, at_blocks, at_known, *(path for _, path in asked))
     return found.withColumnRenamed("id", id)
 
 

@@ -110,6 +110,32 @@ def test_bundles_of_reports_give_the_same(spark, monkeypatch):
         assert a.score == pytest.approx(b.score, rel=1e-7) and a.base_score == pytest.approx(b.base_score, rel=1e-12)
 
 
+def test_levels_give_the_same_and_rows_grow_with_the_text(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"the {'on ' * i} word{i % 3} {i * 7919}") for i in range(60)], "doc_id long, text string")
+    held = F.col("doc_id") % 5 == 0
+    one = context_tree.score_texts(docs, held).orderBy("doc_id").collect()
+    monkeypatch.setattr(context_tree, "MERGED", 3)
+    monkeypatch.setattr(context_tree, "FAN", 3)
+    assert context_tree.levels(20, 30) == [9, 3, 1, 1] and context_tree.levels(1, 0) == [1]
+    many = context_tree.score_texts(docs, held, block_bytes=150, part_bytes=400).orderBy("doc_id").collect()
+    for a, b in zip(one, many, strict=True):
+        assert a.score == pytest.approx(b.score, rel=1e-7) and a.base_score == pytest.approx(b.base_score, rel=1e-12)
+        assert (a.n_known, a.n_tokens, a.train_tokens) == (b.n_known, b.n_tokens, b.train_tokens)
+    plain = docs.select(F.col("doc_id").alias("id"), held.alias("held"), "text").repartition(4)
+    blocks = context_tree.packed(plain, 150).persist()
+    n_blocks, parts = blocks.count(), 20
+    *asked, (known, _) = context_tree.through_levels(blocks, parts, n_blocks)
+    # Strings and words: each sender deals to at most three shares, however many parts there are.
+    senders = n_blocks
+    for level, _ in asked:
+        assert level.count() <= senders * 2 * 3
+        senders = level.select("words", "part", "bundle").distinct().count()
+        assert level.groupBy("words", "part", "bundle").count().agg(F.max("count")).first()[0] <= n_blocks
+    assert known.groupBy("words", "part").count().where("count > 1").count() == 0
+    assert known.select("part").distinct().count() <= parts
+    blocks.unpersist()
+
+
 def test_odd_rows_and_no_training(spark):
     docs = odd_docs(spark).where(F.coalesce(F.length("text"), F.lit(0)) < 1000)
     rows = docs.collect()
