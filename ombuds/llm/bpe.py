@@ -11,16 +11,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from ombuds.llm.bytebpe import encoder, vocabulary
-from ombuds.llm.common import Cache, ready, with_columns
+from ombuds.llm.common import WordCache, ready, with_columns
 
 ID = np.dtype("<i4")
 
 
 @lru_cache(maxsize=4)
-def packed_words(path: str) -> Cache:
+def packed_words(path: str) -> WordCache:
     """Packed ids by pre-token, kept for all tasks of a worker."""
     encode = encoder(path).encode
-    return Cache(lambda word: np.array(encode(word.encode()), ID).tobytes())
+    return WordCache(lambda word: np.array(encode(word.encode()), ID).tobytes())
 
 
 def packed_ids(text: str | None, path: str) -> bytes:

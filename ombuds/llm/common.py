@@ -17,8 +17,8 @@ from ombuds.session import path_exists, scratch
 
 #: Rows that Python gets at a time. Texts can be long, so it is far below Spark's default.
 BATCH_ROWS = 1000
-#: Entries that a worker's cache holds.
-CACHE_ENTRIES = 300_000
+#: Entries that a worker's cache holds, and characters of a word that is kept at most.
+CACHE_ENTRIES, CACHED_CHARS = 300_000, 64
 
 
 def ready(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
@@ -150,6 +150,14 @@ class Cache(dict):
         return found
 
 
+class WordCache(Cache):
+    """A cache by word whose bytes are bounded too: a word of more than ``CACHED_CHARS`` characters (an encoded file, a run
+    of digits) is asked for each time and not kept."""
+
+    def __missing__(self, word: str):
+        return self.ask(word) if len(word) > CACHED_CHARS else super().__missing__(word)
+
+
 #: Bytes of a table that is broadcast at most; a larger one is joined by shuffling.
 BROADCAST_BYTES = 32 << 20
 

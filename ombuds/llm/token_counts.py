@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ombuds.llm.bytebpe import alphabet, vocabulary
-from ombuds.llm.common import Cache, ready, with_columns
+from ombuds.llm.common import WordCache, ready, with_columns
 from ombuds.session import shared_dir
 
 #: A pre-token is frequent from this share of all pre-tokens on, so there are at most 20,000.
@@ -55,10 +55,10 @@ def frequent_lengths(docs: DataFrame, path: str, text: str = "text", share: floa
 
 
 @lru_cache(maxsize=4)
-def lengths_of(path: str) -> Cache:
+def lengths_of(path: str) -> WordCache:
     """Number of tokens by pre-token, kept for all tasks of a worker. The library's own model encodes the misses."""
     model, stands = vocabulary(path).library.model, alphabet()
-    return Cache(lambda word: len(model.tokenize("".join(map(stands.__getitem__, word.encode())))))
+    return WordCache(lambda word: len(model.tokenize("".join(map(stands.__getitem__, word.encode())))))
 
 
 def count_tokens(

@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 from odd_docs import no_docs, odd_docs
@@ -9,7 +10,7 @@ from tokenizers import Tokenizer
 
 from ombuds.llm import bpe, queries, token_counts
 from ombuds.llm.bytebpe import Vocabulary, encoder
-from ombuds.llm.common import Cache
+from ombuds.llm.common import CACHED_CHARS, Cache, WordCache
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 SMALL = "/root/testdata/sf0.001"
@@ -98,6 +99,19 @@ def test_cache_is_bounded_and_keeps_what_is_in_use():
     assert asked.count(3) == 1
 
 
+def test_long_words_are_not_cached(library):
+    asked = []
+    cache = WordCache(lambda word: asked.append(word) or len(word), most=10)
+    for word in ("a" * CACHED_CHARS, "a" * (CACHED_CHARS + 1)) * 2:
+        assert cache[word] == len(word)
+    assert list(map(len, asked)) == [CACHED_CHARS, CACHED_CHARS + 1, CACHED_CHARS + 1] and len(cache) == 1
+    long = "7" * 50_000 + " " + "Ab" * 50_000 + " x"
+    ids = library.encode(long, add_special_tokens=False).ids
+    assert np.frombuffer(bpe.packed_ids(long, PATH), bpe.ID).tolist() == ids
+    assert max(map(len, [*bpe.packed_words(PATH), *bpe.packed_words(PATH).old])) <= CACHED_CHARS
+
+
+
 def test_queries_match_the_library(spark, library):
     docs = {row.doc_id: row.text for row in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
     counts = queries.op3_token_counts(spark, SMALL).collect()
