@@ -326,3 +326,21 @@ def test_view(spark, folder):
     stored.replace(frame(spark, [("1", "a", "", DAY[0])]))
     stored.register("stored_view")
     assert spark.sql("SELECT k FROM stored_view").first().k == "1"
+
+
+@pytest.mark.parametrize("update", [None, ("b",)])
+def test_a_large_batch_is_merged_with_one_shuffle_of_each_side(spark, folder, monkeypatch, update):
+    monkeypatch.setattr("ombuds.operators.upsert.BROADCAST_BYTES", 0)
+    monkeypatch.setattr("ombuds.operators.tables.TASK_BYTES", 2000)
+    monkeypatch.setattr("ombuds.operators.tables.FIRST_KEYS", 2)
+    table = VersionedTable(spark, f"{folder}/t", frame(spark, []).schema, "k", buckets=4)
+    old = [(f"k{i}", f"a{i}", "old", DAY[0]) for i in range(60)] + [(None, "x", "old", DAY[0])] * 3
+    new = [(f"k{i}", f"c{i}", "new", DAY[1]) for i in range(30, 90)] + [(None, "y", "new", DAY[1])]
+    table.replace(frame(spark, old))
+    published, publish = [], table._publish
+    monkeypatch.setattr(table, "_publish", lambda df, *more, **named: published.append(plan(df)) or publish(df, *more, **named))
+    table.merge(frame(spark, new), update)
+    assert rows(table.read()) == rows(upsert(frame(spark, old), frame(spark, new), "k", update))
+    assert "Join" not in published[0] and published[0].count("Exchange") == 1
+    in_file = table.read().selectExpr("_metadata.file_path file", "k").where("k is not null").groupBy("k").count()
+    assert in_file.where("count > 1").isEmpty()
