@@ -4,6 +4,7 @@ from conftest import rows
 from ombuds.operators.tables import VersionedTable
 from ombuds.plans import pipeline
 from ombuds.schemas import AUDIT, CALL_CENTER_LOGS, CUSTOMERS, RAW_TABLES, SOCIAL_MEDIA, UNIFIED, WEB_COMPLAINTS
+from ombuds.session import conf
 from ombuds.sources import landing
 from ombuds.sources.paths import AGENT_SHEET, CALL_LOGS, MEDIA, STATIC, WEB_FORMS
 from ombuds.streaming import daily
@@ -327,3 +328,15 @@ def test_a_batch_that_runs_again_changes_nothing(spark, tmp_path, monkeypatch):
     assert load(RUN[1]) == 1  # the same batch, with the time it had
     assert rows(target.read(), "request_id", AUDIT) == [("1", RUN[0])]
     assert rows(fact.read(), "source_complaint_id", "ingested_at") == [("1", RUN[0])]
+
+
+def test_a_late_day_is_written_by_many_tasks_and_no_request_is_in_two_files(spark, tmp_path):
+    from checks.queries import _put_right
+
+    day = f"file://{tmp_path}/day"
+    with conf(spark, spark__sql__adaptive__coalescePartitions__enabled="false"):
+        _put_right(spark.range(400).selectExpr("cast(id % 200 as string) request_id", "id"), day)
+    found = spark.read.parquet(day).selectExpr("request_id", "_metadata.file_name file")
+    names = {row.file for row in found.select("file").distinct().collect()}
+    assert "part-0.parquet" in names and len(names) > 1
+    assert found.distinct().count() == 200 and found.count() == 400
