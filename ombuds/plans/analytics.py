@@ -67,22 +67,25 @@ def channel_hopping(unified: DataFrame, within_hours: int = 24) -> DataFrame:
     rows = known.select("complaint_pk", "customer_id", "channel", "started_at")
     is_call = F.col("channel") == CALLS
     call_pk = F.min(F.when(is_call, F.col("complaint_pk"))).alias("call_pk")
-    instants = rows.groupBy("customer_id", "started_at").agg(call_pk)
+    instants = rows.groupBy("customer_id", "started_at").agg(call_pk, F.bool_or(~is_call).alias("asks"))
     call = F.when(
         F.col("call_pk").isNotNull(), F.struct(F.col("started_at").alias("called_at"), F.col("call_pk"))
     )
-    instants = instants.select("customer_id", "started_at", _minute("started_at").alias("minute"), call.alias("call"))
+    instants = instants.select("customer_id", "started_at", _minute("started_at").alias("minute"), "asks", call.alias("call"))
 
     from_here = _latest_first("customer_id", "minute", order="started_at", until=Window.currentRow)
     same_minute = instants.withColumn("own", F.last("call", ignorenulls=True).over(from_here))
-    minutes = instants.groupBy("customer_id", "minute").agg(F.min("call").alias("first_call"))
+    # The least of a minute's calls in ``own`` is its first call. Taken from there, it needs no shuffle besides the one before.
+    minutes = same_minute.groupBy("customer_id", "minute").agg(F.min("own").alias("first_call"), F.bool_or("asks").alias("asks"))
     after = _latest_first("customer_id", order="minute", until=-1)
-    later = minutes.select(
-        "customer_id", "minute", F.last("first_call", ignorenulls=True).over(after).alias("next")
-    )
+    later = minutes.withColumn("next", F.last("first_call", ignorenulls=True).over(after))
+    # Calls that are too late for the whole minute go before the join, those too late for an instant after it.
+    near = _minute("next.called_at") - F.col("minute") <= F.lit(within_hours) * 60 + 1
+    later = later.where(F.col("asks") & near).select("customer_id", "minute", "next")
     deadline = F.col("started_at") + F.make_dt_interval(hours=F.lit(within_hours))
     found = (
-        same_minute.join(later, ["customer_id", "minute"])
+        same_minute.where("asks")
+        .join(later, ["customer_id", "minute"], "left")
         .select("customer_id", "started_at", F.coalesce("own", "next").alias("call"))
         .where(F.col("call.called_at") <= deadline)
     )

@@ -198,3 +198,27 @@ def test_channel_hopping_ignores_incomplete_rows(spark, missing):
     assert analytics.channel_hopping(df).count() == 1
     gap = df.withColumn(missing, F.when(F.col("channel") == "Web Form", F.col(missing)))
     assert analytics.channel_hopping(gap).isEmpty()
+
+
+def test_channel_hopping_shuffles_instants_once_a_level(spark, tmp_path):
+    """Instants, their minutes and the complaints are shuffled once each, besides what is found."""
+    start = T(2025, 1, 1)
+    data = [
+        (f"{i:04}", str(i % 7), ("Call Center", "Web Form", "Social Media")[i % 3], start + dt.timedelta(minutes=i * 7 % 4000))
+        for i in range(600)
+    ]
+    schema = "complaint_pk string, customer_id string, channel string, started_at timestamp_ntz"
+    spark.createDataFrame(data, schema).write.parquet(f"file://{tmp_path}/fact")
+    got = analytics.channel_hopping(spark.read.parquet(f"file://{tmp_path}/fact"), within_hours=2)
+    got = got.select("complaint_pk", "call_pk", "called_at")
+    found = sorted(tuple(row) for row in got.collect())
+    expected = []
+    for pk, customer, channel, at in data:
+        calls = [(t, k) for k, c, ch, t in data if ch == "Call Center" and c == customer and at <= t <= at + dt.timedelta(hours=2)]
+        if channel != "Call Center" and calls:
+            expected.append((pk, *min(calls)[::-1]))
+    assert found == expected
+    text = plan(got).split("Initial Plan")[0]
+    assert "ReusedExchange" in text
+    shuffles = [line for line in text.splitlines() if "Exchange hashpartitioning" in line and "Reused" not in line]
+    assert len(shuffles) <= 6
