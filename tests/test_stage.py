@@ -7,6 +7,7 @@ import pytest
 from conftest import rows
 from ombuds.schemas import CALL_CENTER_LOGS, SOCIAL_MEDIA, WEB_COMPLAINTS
 from ombuds.session import conf
+from ombuds.sources import stage
 from ombuds.sources.ledger import Ledger
 from ombuds.sources.stage import SOURCE_FILE, empty_files, group_by_schema, list_files, read_staged, stage_files
 
@@ -53,6 +54,20 @@ def test_accepted_spellings(spark, tmp_path):
     ]
 
 
+def test_accepted_spellings_need_no_look_at_single_files(spark, tmp_path, monkeypatch):
+    """However many files differ in spelling, one footer merge tells their columns, and one scan reads them."""
+    spellings = ("source_row_id", "SOURCE_ROW_ID", "Source_Row_Id")
+    files = [
+        put(tmp_path, f"{i}.parquet", request_id=[str(i)], **{spellings[i % 3]: [f"r{i}"], "CUSTOMER_ID" if i % 2 else "customer_id": ["c"]})
+        for i in range(6)
+    ]
+    monkeypatch.setattr(stage, "_file_schema", lambda *_: pytest.fail("a file was looked at singly"))
+    staged = stage_files(spark, WEB_COMPLAINTS, files)
+    assert staged.rejected == ()
+    expected = [(str(i), f"r{i}", None if i % 2 else "c") for i in range(6)]
+    assert rows(staged.rows, "request_id", "source_row_id", "customer_id") == expected
+
+
 def test_file_without_footer_is_skipped(spark, tmp_path):
     good = put(tmp_path, "a.parquet", complaint_id=["1"])
     (tmp_path / "b.parquet").write_bytes(b"garbage")
