@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from conftest import plan, rows
 from ombuds.operators.dedup import latest_per_key
@@ -344,3 +345,32 @@ def test_a_large_batch_is_merged_with_one_shuffle_of_each_side(spark, folder, mo
     assert "Join" not in published[0] and published[0].count("Exchange") == 1
     in_file = table.read().selectExpr("_metadata.file_path file", "k").where("k is not null").groupBy("k").count()
     assert in_file.where("count > 1").isEmpty()
+
+
+@pytest.mark.parametrize("buckets", [1, 2])
+def test_stored_digests_take_no_more_than_their_bits_need(spark, folder, tmp_path, buckets):
+    """Keys of the fact are digests in hexadecimal: 16 bytes of each are told by 32 characters."""
+    keys = spark.range(20_000).select(F.md5(F.col("id").cast("string")).alias("key"))
+    table = VersionedTable(spark, f"{folder}/table", keys.schema, "key" if buckets > 1 else None, buckets)
+    table.replace(keys)
+    size = sum(file.stat().st_size for file in tmp_path.glob("table/data/**/*.parquet"))
+    assert table.read().count() == 20_000 and size < 20_000 * 24
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_erase_leaves_rows_in_their_buckets_without_a_shuffle(spark, folder, monkeypatch, few):
+    monkeypatch.setattr("ombuds.operators.tables.BROADCAST_BYTES", 1 << 20 if few else -1, raising=False)
+    stored = VersionedTable(spark, f"{folder}/t", frame(spark, []).schema, "k", buckets=4, cluster=AUDIT, file_rows=7)
+    data = [(f"k{i}", f"a{i % 5}", "", DAY[i % 3]) for i in range(60)] + [(None, "a1", "x", DAY[0]), (None, "a2", "y", DAY[0])]
+    stored.replace(frame(spark, data))
+    hints, kind = [], type(frame(spark, []))
+    hint = kind.hint
+    monkeypatch.setattr(kind, "hint", lambda df, name, *more: hints.append(name) or hint(df, name, *more))
+    stored.erase(spark.createDataFrame([("a1",), (None,)], "who string"), "a")
+    assert ("rebalance" in hints) is not few
+    assert rows(stored.read()) == rows(frame(spark, [row for row in data if row[1] != "a1"]))
+    placed = stored._rows(stored._live()[1], with_place=True).select("bucket", stored._bucket_of().alias("own"))
+    assert placed.where("bucket <> own").isEmpty()
+    assert rows(stored.read_between(DAY[0].date(), DAY[0].date())) == rows(
+        frame(spark, [row for row in data if row[1] != "a1" and row[3] == DAY[0]])
+    )
