@@ -26,8 +26,12 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ombuds.llm.common import BATCH_ROWS, discard, ready, written
+from ombuds.session import conf
 
 LENGTH, SHARD_SLOTS, ROUNDS = 512, 16_384, 6
+#: Jobs that write the shards, each a range of them. A job's shuffle is deleted at its end, so that not all records lie in
+#: shuffle files beside the sequences and the shards.
+WAVES = 3
 ID = np.dtype("<u2")
 
 
@@ -130,23 +134,33 @@ def materialise(
         seen += sizes[part]
     starts = spark.sparkContext.broadcast(before)
 
-    def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        padding = np.full(length, end, ID).tobytes()
-        for batch in batches:
-            part, own, number, seq_no, n_tokens, ids = batch.columns
-            first = np.array([starts.value[x] for x in part.to_pylist()], np.int64)
-            slot = permuted(first + own.to_numpy(), total, key) if total else first
-            records = [x + padding[len(x) :] for x in ids.to_pylist()]
-            columns = [pa.array(slot // shard_slots), pa.array(slot), number, seq_no, n_tokens, pa.array(records, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["shard", "slot", "doc_id", "seq_no", "n_tokens", "record"])
+    def placed(*names: str, low: int, high: int) -> DataFrame:
+        """Columns ``names`` of the sequences of shards ``low`` to ``high - 1``, beside their places."""
+
+        def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                first = np.array([starts.value[x] for x in batch.column(0).to_pylist()], np.int64)
+                slot = permuted(first + batch.column(1).to_numpy(), total, key)
+                shard = slot // shard_slots
+                mine = np.flatnonzero((shard >= low) & (shard < high))
+                columns = [pa.array(shard[mine]), pa.array(slot[mine]), *(x.take(pa.array(mine)) for x in batch.columns[2:])]
+                yield pa.RecordBatch.from_arrays(columns, ["shard", "slot", *names])
+
+        found = cut.select("part", "place", *names)
+        schema = ", ".join(["shard long", "slot long", *(f"{name} {found.schema[name].dataType.simpleString()}" for name in names)])
+        # A partition per shard, in the order of slots. Slots are dense, so a shard is a range of known size and needs no sampling.
+        by_shard = found.mapInArrow(place, schema).repartitionById(high - low, (F.col("shard") - low).cast("int"))
+        return by_shard.sortWithinPartitions("shard", "slot")
 
     if total:
-        schema = "shard long, slot long, doc_id long, seq_no int, n_tokens int, record binary"
-        placed = cut.select("part", "place", "doc_id", "seq_no", "n_tokens", "ids").mapInArrow(place, schema)
-        # Both are made of the numbered sequences that are written above, so they agree whatever becomes of executors.
-        _write_files(_ranged(placed.select("shard", "slot", "record"), total, shard_slots), f"{out}/records")
-        index = _ranged(placed.drop("record"), total, shard_slots)
-        index.write.option("compression", "zstd").partitionBy("shard").parquet(f"{out}/index")
+        count = -(-total // shard_slots)
+        # All are made of the numbered sequences that are written above, so they agree whatever becomes of executors.
+        with conf(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
+            about = placed("doc_id", "seq_no", "n_tokens", low=0, high=count)
+            about.write.option("compression", "zstd").partitionBy("shard").parquet(f"{out}/index")
+            step = -(-count // WAVES)
+            for low in range(0, count, step):
+                _write_files(placed("ids", low=low, high=min(count, low + step)), f"{out}/records", end, length)
         layout = spark.createDataFrame([(total, length, shard_slots)], LAYOUT)
         layout.coalesce(1).write.json(f"{out}/layout")
     discard(spark, cut_path)
@@ -156,34 +170,28 @@ def materialise(
 LAYOUT = "total long, length int, shard_slots int"
 
 
-def _ranged(placed: DataFrame, total: int, shard_slots: int) -> DataFrame:
-    """A partition per shard, in the order of slots. Slots are dense, so a shard is a range of known size and needs no
-    sampling."""
-    return placed.repartitionById(-(-total // shard_slots), F.col("shard").cast("int")).sortWithinPartitions("shard", "slot")
-
-
-def _write_files(ranged: DataFrame, out: str) -> None:
+def _write_files(ranged: DataFrame, out: str, end: int, length: int) -> None:
     """One file per shard, of its records in the order of slots."""
 
     def join(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, records = None, []
+        padding, now, records = np.full(length, end, ID).tobytes(), None, []
 
         def file() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([now], pa.int64()), pa.array([b"".join(records)], pa.binary())], ["shard", "body"])
 
         for batch in batches:
-            for shard, record in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            for shard, ids in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 if shard != now and records:
                     yield file()
                     records = []
                 now = shard
-                records.append(record)
+                records.append(ids + padding[len(ids) :])
         if records:
             yield file()
 
     whole = ranged.mapInArrow(join, "shard long, body binary")
     # A text's bytes are written as they are, so this writes plain files of bytes.
-    whole.select("shard", F.col("body").cast("string").alias("value")).write.partitionBy("shard").text(out)
+    whole.select("shard", F.col("body").cast("string").alias("value")).write.mode("append").partitionBy("shard").text(out)
 
 
 INDEX = "slot long, doc_id long, seq_no int, n_tokens int, shard long"

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 import tiktoken
 from odd_docs import no_docs, odd_docs
+from pyspark.sql import functions as F
 
 from ombuds.llm import queries, training_order
 from ombuds.llm.queries import END, PATTERN, RANKS
@@ -103,3 +104,26 @@ def test_bytes_of_all_values_come_back(spark, folder):
 def test_ids_that_do_not_fit(spark, folder):
     with pytest.raises(ValueError, match="don't fit"):
         training_order.materialise(odd_docs(spark), f"{folder}/out", RANKS, PATTERN, 70_000)
+
+
+def test_shards_are_written_in_turns_whose_shuffles_go(spark, folder, monkeypatch):
+    def shuffled():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        found = (files.apply(at) for at in range(files.size()))
+        return {file.getName(): file.length() for file in found if file.getName().endswith(".data")}
+
+    left, write = [], training_order._write_files
+    docs = spark.range(400).select("id", F.repeat(F.sha2(F.col("id").cast("string"), 256), 9).alias("text")).repartition(4)
+    before = shuffled()
+
+    def watched(*args):
+        write(*args)
+        left.append(sum(size for name, size in shuffled().items() if name not in before))
+
+    monkeypatch.setattr(training_order, "_write_files", watched)
+    total = training_order.materialise(docs, f"{folder}/out", RANKS, PATTERN, END, id="id", length=64, shard_slots=500)
+    assert len(left) == training_order.WAVES and total > 500 * training_order.WAVES
+    found = training_order.shards(spark, f"{folder}/out")
+    want = sorted(x for _, _, _, x in records([(r.id, r.text) for r in docs.collect()], 64))
+    assert sorted(bytes(r.record) for r in found.collect()) == want
+    assert max(left) < total * 128 // 100
