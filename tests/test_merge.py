@@ -4,6 +4,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from conftest import plan, rows
 from ombuds.operators.dedup import latest_per_key
@@ -374,3 +375,18 @@ def test_erase_leaves_rows_in_their_buckets_without_a_shuffle(spark, folder, mon
     assert rows(stored.read_between(DAY[0].date(), DAY[0].date())) == rows(
         frame(spark, [row for row in data if row[1] != "a1" and row[3] == DAY[0]])
     )
+
+
+def test_bitmaps_are_grouped_by_one_number(spark, folder):
+    """Sorted for by one number, and the same bitmaps as by three columns."""
+    table = VersionedTable(spark, f"{folder}/t", T.StructType([T.StructField("k", T.StringType())]), "k", buckets=3)
+    keys = spark.range(200).select(F.when(F.col("id") % 9 != 0, F.col("id").cast("string")).alias("k"))
+    keyed = keys.withColumn("bucket", table._bucket_of()).withColumn("parts", F.explode(F.array(F.lit(1), F.lit(8))))
+    found = table._bits(keyed, F.col("parts"))
+    hashed = F.xxhash64("k", F.lit("bitmap"))
+    part = F.pmod(F.shiftrightunsigned(hashed, 20), F.col("parts")).cast("int").alias("part")
+    bits = keyed.where("k is not null").select("bucket", "parts", part, hashed.bitwiseAND(F.lit(32767)).alias("bit"))
+    want = bits.groupBy("bucket", "parts", "part").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    assert sorted(found.collect()) == sorted(want.collect()) and found.schema.names == want.schema.names
+    sorts = [line.split("Sort [")[1].split("], ")[0] for line in plan(found).splitlines() if " Sort [" in line]
+    assert sorts and all(by.startswith("place#") and "," not in by for by in sorts)

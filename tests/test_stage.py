@@ -165,3 +165,14 @@ def test_checking_files_changes_no_good_row(spark, tmp_path, check):
     files = [put(tmp_path, f"{i}.parquet", call_id=[str(i), None]) for i in range(3)]
     df = read_staged(spark, CALL_CENTER_LOGS, files, check_files=check)
     assert rows(df, "call_id") == [(None,)] * 3 + [("0",), ("1",), ("2",)]
+
+
+def test_rows_are_counted_by_file_only_if_some_are_missing(spark, tmp_path, monkeypatch):
+    """All rows that the footers promise are there, so each file gave its own: no row is grouped by its file."""
+    files = [put(tmp_path, f"{i}.parquet", complaint_id=[str(i)] * 3) for i in range(3)]
+    files += [put(tmp_path, "none.parquet", complaint_id=pa.array([], pa.string())), f"file://{tmp_path}/bad.parquet"]
+    (tmp_path / "bad.parquet").write_bytes(b"damaged")
+    monkeypatch.setattr(type(spark.range(1)), "groupBy", lambda *_: pytest.fail("rows were grouped"))
+    staged = stage_files(spark, SOCIAL_MEDIA, files)
+    assert staged.rejected == (files[4],)
+    assert rows(staged.rows, "complaint_id") == [(str(i),) for i in range(3) for _ in range(3)]
