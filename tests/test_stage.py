@@ -68,6 +68,18 @@ def test_accepted_spellings_need_no_look_at_single_files(spark, tmp_path, monkey
     assert rows(staged.rows, "request_id", "source_row_id", "customer_id") == expected
 
 
+def test_two_spellings_without_rows(spark, tmp_path):
+    """A file without rows is looked at singly, and may have two spellings of a column like any other."""
+    files = [
+        put(tmp_path, "a.parquet", source_row_id=pa.array([], pa.string()), SOURCE_ROW_ID=pa.array([], pa.string())),
+        put(tmp_path, "b.parquet", source_row_id=[None], SOURCE_ROW_ID=["1"], request_id=["a"]),
+    ]
+    staged = stage_files(spark, WEB_COMPLAINTS, files)
+    assert staged.rejected == ()
+    assert rows(staged.rows, "source_row_id", "request_id") == [("1", "a")]
+    assert spark.conf.get("spark.sql.caseSensitive") == "false"
+
+
 def test_file_without_footer_is_skipped(spark, tmp_path):
     good = put(tmp_path, "a.parquet", complaint_id=["1"])
     (tmp_path / "b.parquet").write_bytes(b"garbage")
