@@ -1,4 +1,6 @@
 import datetime as dt
+import hashlib
+import time
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -390,3 +392,55 @@ def test_bitmaps_are_grouped_by_one_number(spark, folder):
     assert sorted(found.collect()) == sorted(want.collect()) and found.schema.names == want.schema.names
     sorts = [line.split("Sort [")[1].split("], ")[0] for line in plan(found).splitlines() if " Sort [" in line]
     assert sorts and all(by.startswith("place#") and "," not in by for by in sorts)
+
+
+@pytest.mark.parametrize("broadcast", [0, 1 << 20])
+@pytest.mark.parametrize("update", [None, ("b",)])
+def test_a_merge_in_waves_writes_what_one_wave_does(spark, folder, monkeypatch, update, broadcast):
+    """Buckets after buckets, each time with their part of the staged batch alone, which then goes."""
+    from ombuds.session import path_exists
+
+    monkeypatch.setattr("ombuds.operators.upsert.BROADCAST_BYTES", broadcast)
+    monkeypatch.setattr("ombuds.operators.tables.WAVE_BYTES", 3000)
+    stored = VersionedTable(spark, f"{folder}/t", frame(spark, []).schema, "k", buckets=11, cluster=AUDIT)
+    one = [(f"k{i % 50}", f"a{i}", "old", DAY[i % 3]) for i in range(70)] + [(None, f"x{i}", "old", DAY[i]) for i in range(3)]
+    two = [(f"k{i % 60 + 30}", f"c{i}", "new", DAY[3 + i % 2]) for i in range(80)] + [(None, f"y{i}", "new", DAY[i]) for i in range(3)]
+    left, write = [], VersionedTable._write
+    staged, slices = [], VersionedTable._sliced
+    monkeypatch.setattr(VersionedTable, "_sliced", lambda self, batch: staged.append(slices(self, batch)) or staged[-1])
+
+    def writes(self, *args):
+        left.append(sum(path_exists(spark, f"{staged[-1][2]}/_slice={number}") for number in range(8)))
+        return write(self, *args)
+
+    monkeypatch.setattr(VersionedTable, "_write", writes)
+    stored.merge(frame(spark, one), update)
+    assert len(left) > 2 and left == sorted(set(left), reverse=True)
+    first = latest_per_key(frame(spark, one), "k")
+    assert rows(stored.read()) == rows(first)
+    left.clear()
+    stored.merge(frame(spark, two), update)
+    assert len(left) > 2 and left == sorted(set(left), reverse=True)
+    assert rows(stored.read()) == rows(upsert(first, latest_per_key(frame(spark, two), "k"), "k", update))
+    assert [row.rows for row in stored.counts().orderBy("version").collect()] == [51, 92]
+    placed = stored._rows(stored._live()[1], with_place=True).select("bucket", stored._bucket_of().alias("own"))
+    assert placed.where("bucket <> own").isEmpty()
+
+
+def test_merges_leave_no_shuffles_of_rows(spark, folder):
+    """Those of the pointer are a few rows."""
+
+    def shuffled():
+        found = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        files = [found.apply(i) for i in range(found.size())]
+        return {file.getName(): file.length() for file in files if file.getName().startswith("shuffle_")}
+
+    before = shuffled()
+    stored = table(spark, folder)
+    digests = [hashlib.md5(str(i).encode()).hexdigest() for i in range(3000)]
+    for day in range(2):
+        stored.merge(frame(spark, [(digest, "a", "", DAY[day]) for digest in digests]))
+    deadline = time.monotonic() + 20  # they are deleted a moment later
+    while (left := sum(size for name, size in shuffled().items() if name not in before)) > 30_000 and time.monotonic() < deadline:
+        time.sleep(0.2)
+    assert left <= 30_000 and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
